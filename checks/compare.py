@@ -24,6 +24,12 @@ def database(sf_dir: str) -> duckdb.DuckDBPyConnection:
     return db
 
 
+_TYPES = {
+    "bigint": "BIGINT", "int": "INTEGER", "string": "VARCHAR", "double": "DOUBLE",
+    "boolean": "BOOLEAN",
+}
+
+
 def canonical(columns: list[str], rows) -> list[tuple]:
     order = sorted(range(len(columns)), key=lambda i: columns[i])
     return sorted((tuple(r[i] for i in order) for r in rows), key=repr)
@@ -38,6 +44,10 @@ def compare(spark: SparkSession, db, sf_dir: str, name: str) -> str:
     theirs = canonical(columns, result.fetchall())
     if sorted(columns) != sorted(df.columns):
         return f"columns {sorted(df.columns)} / {sorted(columns)}"
+    types = {c[0]: str(c[1]) for c in result.description}
+    wrong = {c: (t, types[c]) for c, t in df.dtypes if _TYPES[t] != types[c]}
+    if wrong:
+        return f"types {wrong}"
     if len(ours) != len(theirs):
         return f"rows {len(ours)} / {len(theirs)}"
     for a, b in zip(ours, theirs):

@@ -110,7 +110,9 @@ def _(spark, d):
     schema = t.table(spark, d, "documents").schema
     stream = incremental.stream_parquet(spark, d, schema, pattern="documents.parquet")
     out, checkpoint = scratch_path(spark, "stream"), scratch_path(spark, "stream-state")
-    incremental.incremental_redact(stream, out, checkpoint).awaitTermination()
+    cores = spark.sparkContext.defaultParallelism
+    started = incremental.incremental_redact(stream, out, checkpoint, partitions=cores)
+    started.awaitTermination()
     return spark.read.parquet(out).select("doc_id", "anonymized_content", "resume_id")
 
 

@@ -108,7 +108,7 @@ def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
 def _derived(spark: SparkSession, sf_dir: str, sql: str) -> DataFrame:
     return spark.sql(
         sql.replace("FROM customer JOIN nation", "FROM {customer} JOIN {nation}"),
-        customer=table(spark, sf_dir, "customer"),
+        customer=spread(table(spark, sf_dir, "customer"), "c_custkey"),
         nation=table(spark, sf_dir, "nation"),
     )
 

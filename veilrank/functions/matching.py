@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 from veilrank.catalog import Field, Rule
 
 UNICODE = "(?U)"
+_CUT, _ASIDE = "\ue000", "\ue001"  # private-use characters: of no class a rule names
 SPAN_TYPE = (
     "struct<start:int,end:int,score:double,entity_type:string,text:string,rule_id:string>"
 )
@@ -66,23 +67,29 @@ def rule_texts(text: Column, rule: Rule) -> Column:
 
 
 def _rule_hits(text: Column, rule: Rule) -> Column:
-    """What one rule finds: the matches, their values, and the text between the matches.
+    """What one rule finds: the texts around the matches, the matches, and their values.
 
-    Null where the rule cannot match.
+    Null where the rule finds nothing, which is decided first and is all the work then.
+    ``whole`` stays empty for a rule whose value is the whole match.  The gaps serve for their
+    lengths only, so a private-use character of the text may stand aside for the cut mark.
     """
     pattern = spark_pattern(rule)
-    whole = F.regexp_extract_all(text, F.lit(pattern), F.lit(0))
-    value = F.regexp_extract_all(text, F.lit(pattern), F.lit(rule.value)) if rule.value else whole
+    cut = F.regexp_replace(F.translate(text, _CUT, _ASIDE), pattern, _CUT)
+
+    def groups(group: int) -> Column:
+        return F.regexp_extract_all(text, F.lit(pattern), F.lit(group))
+
     hits = F.struct(
         F.lit(rule.rule_id).alias("rule_id"),
         F.lit(rule.entity_type).alias("entity_type"),
         F.lit(float(rule.score)).alias("score"),
         F.lit(rule.value == 1).alias("leads"),
-        F.split(text, pattern, -1).alias("gaps"),
-        whole.alias("whole"),
-        value.alias("value"),
+        F.split(cut, _CUT, -1).alias("gaps"),
+        (groups(0) if rule.value else F.array().cast("array<string>")).alias("whole"),
+        groups(rule.value).alias("value"),
     )
-    return F.when(contains_any(text, rule.needs), hits) if rule.needs else hits
+    found = text.rlike(pattern)
+    return F.when(contains_any(text, rule.needs) & found if rule.needs else found, hits)
 
 
 def rule_spans(text: Column, rules: Sequence[Rule]) -> Column:
@@ -96,7 +103,7 @@ def rule_spans(text: Column, rules: Sequence[Rule]) -> Column:
     def spans_of(rule: Column) -> Column:
         def add(acc: Column, hit: Column) -> Column:
             begin = acc["at"] + F.length(hit["gaps"])
-            stop = begin + F.length(hit["whole"])
+            stop = begin + F.length(F.coalesce(hit["whole"], hit["value"]))
             size = F.length(hit["value"])
             first = F.when(rule["leads"], begin).otherwise(stop - size)
             span = F.struct(
@@ -114,14 +121,12 @@ def rule_spans(text: Column, rules: Sequence[Rule]) -> Column:
         # The gap after the last match has no match next to it.
         hits = F.filter(
             F.arrays_zip(rule["gaps"], rule["whole"], rule["value"]),
-            lambda hit: hit["whole"].isNotNull(),
+            lambda hit: hit["value"].isNotNull(),
         )
         start = F.struct(F.lit(0).alias("at"), nothing.alias("spans"))
         return F.aggregate(hits, start, add, lambda acc: acc["spans"])
 
-    found = F.filter(
-        F.array(*[_rule_hits(text, r) for r in rules]), lambda rule: F.size(rule["whole"]) > 0
-    )
+    found = F.array_compact(F.array(*[_rule_hits(text, r) for r in rules]))
     return F.flatten(F.transform(found, spans_of))
 
 

@@ -66,13 +66,13 @@ def rank_resumes_per_jd(
     """
     _check_k(k)
     wanted = jds.select(jd_key, distinct_words(scrub(F.col("text"))).alias("words"))
-    jd_words = wanted.select(
-        jd_key, F.size("words").alias("n_words"), F.explode("words").alias("word")
-    )
+    jd_words = wanted.select(jd_key, F.explode("words").alias("word"))
+    jd_sizes = wanted.select(jd_key, F.size("words").alias("n_words"))
     measured = jd_words.agg(F.sum(F.octet_length("word") + F.lit(32))).first()[0] or 0
 
     held = resumes.select(key, distinct_words(scrub(F.col(text))).alias("words"))
-    if measured <= broadcast_bytes:
+    small = measured <= broadcast_bytes
+    if small:
         held = held.repartition(key).select(key, F.explode("words").alias("word"))
         shared = held.join(F.broadcast(jd_words), "word")
     else:
@@ -83,10 +83,9 @@ def rank_resumes_per_jd(
         )
         copies = jd_words.withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))))
         shared = salted.join(copies, ["word", "salt"])
-    scored = (
-        shared.groupBy(jd_key, key)
-        .agg(F.count(F.lit(1)).alias("n_shared"), F.first("n_words").alias("n_words"))
-        .select(jd_key, key, (F.col("n_shared").cast("double") / F.col("n_words")).alias("score"))
+    counted = shared.groupBy(jd_key, key).agg(F.count(F.lit(1)).alias("n_shared"))
+    scored = counted.join(F.broadcast(jd_sizes) if small else jd_sizes, jd_key).select(
+        jd_key, key, (F.col("n_shared").cast("double") / F.col("n_words")).alias("score")
     )
     best = _best(scored, k, jd_key, key)
     candidates = best.unionByName(_without_overlap(jds, resumes, k, jd_key, key))

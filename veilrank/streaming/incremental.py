@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterable
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
@@ -31,13 +33,17 @@ def incremental_redact(
     checkpoint: str,
     key: str = "doc_id",
     text: str = "text",
-    types=None,
+    types: Iterable[str] | None = None,
+    partitions: int | None = None,
 ) -> StreamingQuery:
     """Redact what has arrived since the last run and append it to a Parquet table.
 
     Each batch holds the redacted text and the entities found in it.  Stateless: the file sink
     and the checkpoint make a restart add nothing twice, and memory depends on a batch only.
+    ``partitions`` spreads the rows of a batch where few files arrive at a time.
     """
+    if partitions:
+        docs = docs.repartition(partitions, key)
     content = F.col(text)
     redacted = docs.select(
         key,
