@@ -73,12 +73,13 @@ def rank_resumes_per_jd(
     held = resumes.select(key, distinct_words(scrub(F.col(text))).alias("words"))
     small = measured <= broadcast_bytes
     if small:
-        held = held.repartition(key).select(key, F.explode("words").alias("word"))
+        # Outer: the filter an inner explode infers would find the words a second time.
+        held = held.repartition(key).select(key, F.explode_outer("words").alias("word"))
         shared = held.join(F.broadcast(jd_words), "word")
     else:
         salted = held.select(
             key,
-            F.explode("words").alias("word"),
+            F.explode_outer("words").alias("word"),
             F.pmod(F.hash(key), F.lit(salts)).alias("salt"),
         )
         copies = jd_words.withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))))

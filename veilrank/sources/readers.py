@@ -37,16 +37,20 @@ def read_csv_with_rejects(
         .option("columnNameOfCorruptRecord", _CORRUPT)
         .csv(path)
     )
-    return raw.withColumn("rejected", _too_many_cells(F.col(_CORRUPT), len(schema.fields))).drop(
-        _CORRUPT
-    )
+    rejected = _too_many_cells(F.col(_CORRUPT), F.col(schema.names[-1]), len(schema.names))
+    return raw.withColumn("rejected", rejected).drop(_CORRUPT)
+
 
+def _too_many_cells(record: Column, last: Column, columns: int) -> Column:
+    """Whether a flagged record has too many cells: separators outside quotes tell.
 
-def _too_many_cells(record: Column, columns: int) -> Column:
-    """Whether a flagged record has too many cells: separators outside quotes tell."""
+    The last column takes part because Spark refuses to read the flag alone, as a plain count
+    of the records would.
+    """
     bare = F.regexp_replace(record, r'"(?:[^"]|"")*+"', "")
     cells = F.length(bare) - F.length(F.replace(bare, F.lit(","), F.lit(""))) + 1
-    return F.coalesce(cells > columns, F.lit(False))
+    short = last.isNull() & (cells < columns)
+    return F.when(record.isNull() | short, False).otherwise(cells > columns)
 
 
 def read_resume_csv(

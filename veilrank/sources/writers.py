@@ -6,10 +6,13 @@ from pyspark.sql import DataFrame
 
 
 def write_redacted(df: DataFrame, path: str, format: str = "csv", mode: str = "errorifexists"):
-    """CSV with a header and every cell quoted, or any Spark format such as ``parquet``."""
+    """CSV with a header and every cell quoted, or any Spark format such as ``parquet``.
+
+    CSV cannot tell empty text from null; Parquet can.
+    """
     writer = df.write.mode(mode)
     if format == "csv":
-        # Keep white space at the ends of cells, and empty text apart from null.
+        # Keep white space at the ends of cells.
         writer = (
             writer.option("header", True)
             .option("encoding", "UTF-8")
