@@ -396,6 +396,10 @@ for _field in FIELDS:
 ORACLE["detect_spans"] = f"WITH {CORPUS} SELECT * FROM ({rule_spans()})"
 ORACLE["merge_extra_spans"] = f"WITH {ALL_SPANS} SELECT * FROM spans"
 ORACLE["resolve_overlaps"] = f"WITH {ISLANDS} SELECT * FROM islands"
+ORACLE["span_entities"] = f"""WITH {ALL_SPANS}
+SELECT doc_id, lower(entity_type) AS entity_type,
+  string_agg(DISTINCT text, ' | ' ORDER BY text) AS texts
+FROM spans GROUP BY doc_id, entity_type"""
 ORACLE["mask_spans"] = f"WITH {MASKED} SELECT doc_id, anonymized_content FROM masked"
 ORACLE["entities_by_resume"] = f"""WITH {LATEST}
 SELECT resume_id, doc_id, entity_type, string_agg(entity_text, ' | ' ORDER BY ord) AS texts

@@ -341,6 +341,14 @@ def _(spark, d):
     )
 
 
+@query("span_entities")
+def _(spark, d):
+    spans = t.corpus(spark, d).select("doc_id", entities.all_spans(F.col("text")).alias("spans"))
+    found = spans.select("doc_id", entities.span_entities(F.col("spans")).alias("entities"))
+    rows = entities.explode_map(found, "doc_id")
+    return rows.withColumn("texts", F.array_join(F.array_sort("texts"), " | "))
+
+
 @query("mask_spans")
 def _(spark, d):
     return entities.redact_by_spans(t.corpus(spark, d))

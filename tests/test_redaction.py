@@ -104,6 +104,13 @@ def test_masking(each):
     ]
 
 
+def test_entities_of_spans(each):
+    line = "Nationality: Indian, Ann Lee, Bob Ray, Ann Lee"
+    (found,) = each(en.span_entities(en.all_spans(T)), line)
+    assert found == {"person_name": ["Ann Lee", "Bob Ray"], "nationality": ["Indian"]}
+    assert each(en.span_entities(en.all_spans(T)), None, "plain") == [{}, {}]
+
+
 def test_unknown_type_is_masked(spark):
     (row,) = spark.range(1).select(en.placeholder(F.lit("SHOE_SIZE")).alias("p")).collect()
     assert row.p == "<REDACTED>"

@@ -104,6 +104,17 @@ def all_spans(
     )
 
 
+def span_entities(spans: Column) -> Column:
+    """The entity map of a span array: distinct texts per lower-case type, in span order."""
+    types = F.array_distinct(F.transform(spans, lambda s: s["entity_type"]))
+
+    def texts(entity_type: Column) -> Column:
+        own = F.filter(spans, lambda s: s["entity_type"] == entity_type)
+        return F.array_distinct(F.transform(own, lambda s: s["text"]))
+
+    return F.map_from_arrays(F.transform(types, F.lower), F.transform(types, texts))
+
+
 def detector_names(entity_type: Column) -> Column:
     """The detector names a type stands for: ``array<string>``."""
     mapped = reduce(

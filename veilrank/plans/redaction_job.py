@@ -16,6 +16,7 @@ from veilrank.operators.entities import (
     entity_map,
     mask_spans,
     resolve_overlaps,
+    span_entities,
 )
 from veilrank.operators.ranks import sample_n
 from veilrank.operators.redact import redact_column, text_status
@@ -42,22 +43,37 @@ def redaction_table(
 ) -> DataFrame:
     """Redacted text, status, résumé id and entities in one projection over the content.
 
-    ``method`` is ``rules`` (rule after rule) or ``spans`` (detect, merge, mask).
+    ``method`` is ``rules`` (rule after rule) or ``spans`` (detect, merge, mask); the spans
+    give the entities too, with those of the field extractors, from the same search.
     """
     text = F.col(content)
     if method == "rules":
-        changed = redact_column(text, types)
+        made = df.withColumns(
+            {
+                "anonymized_content": redact_column(text, types),
+                "entities": entity_map(text, types),
+            }
+        )
     elif method == "spans":
-        changed = mask_spans(text, resolve_overlaps(all_spans(text, types)))
+        spans = F.col("_spans")
+        made = (
+            df.withColumn("_spans", all_spans(text, types))
+            .withColumns(
+                {
+                    "anonymized_content": mask_spans(text, resolve_overlaps(spans)),
+                    "entities": span_entities(spans),
+                }
+            )
+            .drop("_spans")
+        )
     else:
         raise ValueError(f"unknown method: {method}")
-    made = df.withColumns(
+    made = made.withColumns(
         {
-            "anonymized_content": changed,
             "resume_id": resume_id(text),
-            "entities": entity_map(text, types),
+            "status": text_status(text, F.col("anonymized_content")),
         }
-    ).withColumn("status", text_status(text, F.col("anonymized_content")))
+    )
     return made if keep_raw else made.drop(content)
 
 
