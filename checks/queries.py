@@ -8,12 +8,11 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from checks import tables as t
-from veilrank.catalog import DETECTORS, select_types
 from veilrank.functions import text as tx
 from veilrank.operators import content, entities, matching, metrics, pairs, ranking, redact
 from veilrank.operators import ranks, statistics
 from veilrank.plans import matching_job, redaction_job
-from veilrank.session import materialize, scratch_path, spread
+from veilrank.session import scratch_path, spread
 from veilrank.sources import readers, writers
 from veilrank.streaming import incremental
 
