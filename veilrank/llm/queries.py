@@ -2,9 +2,11 @@
 
 from __future__ import annotations
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from veilrank.llm import warc
+from veilrank.llm import bpe, token_counts, warc
 from veilrank.session import scratch_path
 
 
@@ -18,4 +20,25 @@ def op1_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     return warc.read_pages(spark, path)
 
 
-QUERIES = {"op1_warc": op1_warc}
+def op7_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    coded = bpe.encode(docs, public_tokenizers.path("word_bpe_49k.json"))
+    return coded.select(
+        "doc_id",
+        F.size("ids").cast("long").alias("n_tokens"),
+        F.sha2(F.concat_ws(" ", F.col("ids").cast("array<string>")), 256).alias("ids_sha256"),
+        F.sha2("decoded", 256).alias("decoded_sha256"),
+    )
+
+
+def op8_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    pieces = token_counts.read_pieces(public_tokenizers.path("piece_bpe_32k.model"))
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return token_counts.count_tokens(docs, pieces)
+
+
+QUERIES = {
+    "op1_warc": op1_warc,
+    "op7_bpe": op7_bpe,
+    "op8_token_counts": op8_token_counts,
+}
