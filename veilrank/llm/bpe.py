@@ -268,12 +268,9 @@ def encode(docs: DataFrame, path: str, lexicon_size: int = 65_536, decode: bool
     docs = docs.drop("ids", "decoded")
     common = frequent_words(docs, vocabulary, lexicon_size).collect()
     block = compile_words({r.word: vocabulary.merge(r.word) for r in common})
-    spark = docs.sparkSession
-    sent = spark.sparkContext.broadcast((vocabulary, block))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        own, mapped = sent.value
-        lexicon = Lexicon(mapped)
+        own, lexicon = vocabulary, Lexicon(block)
         lexicon_ids, lexicon_start = lexicon.ids, lexicon.start
         merged: dict[str, list[int]] = {}
         for batch in batches:

@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from veilrank.llm import bpe, token_counts, warc
+from veilrank.llm import bpe, language, simhash, token_counts, warc
 from veilrank.session import scratch_path
 
 
@@ -14,6 +14,11 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def key_crc(column: str = "doc_id"):
+    """CRC-32 of a key written as text."""
+    return F.crc32(F.col(column).cast("string").cast("binary"))
+
+
 def op1_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = scratch_path(spark, "warc")
     warc.archive_pages(table(spark, sf_dir, "pages"), path)
@@ -37,8 +42,22 @@ def op8_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_counts.count_tokens(docs, pieces)
 
 
+def op9_language(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select(
+        "doc_id", "text", "lang", (key_crc() % 5 == 0).alias("held_out")
+    )
+    model = language.learn(docs.where(~F.col("held_out")))
+    return language.identify(docs.select("doc_id", "held_out", "text"), model)
+
+
+def op10_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return simhash.near_duplicates(table(spark, sf_dir, "documents"), shingle=3, distance=3)
+
+
 QUERIES = {
     "op1_warc": op1_warc,
     "op7_bpe": op7_bpe,
     "op8_token_counts": op8_token_counts,
+    "op9_language": op9_language,
+    "op10_simhash": op10_simhash,
 }
