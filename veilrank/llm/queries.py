@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from veilrank.llm import bpe, language, simhash, token_counts, warc
+from veilrank.llm import bpe, language, sharding, simhash, token_counts, warc
 from veilrank.session import scratch_path
 
 
@@ -25,6 +25,14 @@ def op1_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     return warc.read_pages(spark, path)
 
 
+def op6_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return sharding.shard(docs, 40).select(
+        "doc_id", "size", "text_crc32", F.lit("bytes").alias("law"), "shard", "slot",
+        F.lit(None).cast("int").alias("grown_shard"),
+    )
+
+
 def op7_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     coded = bpe.encode(docs, public_tokenizers.path("word_bpe_49k.json"))
@@ -56,6 +64,7 @@ def op10_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {
     "op1_warc": op1_warc,
+    "op6_sharding": op6_sharding,
     "op7_bpe": op7_bpe,
     "op8_token_counts": op8_token_counts,
     "op9_language": op9_language,
