@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from veilrank.llm import bpe, language, sharding, simhash, token_counts, warc
+from veilrank.llm import bpe, language, quality, sharding, simhash, token_counts, warc
 from veilrank.session import scratch_path
 
 
@@ -25,6 +25,13 @@ def op1_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     return warc.read_pages(spark, path)
 
 
+def op2_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    labels = table(spark, sf_dir, "labels").where(key_crc() % 3 != 1)
+    scored = quality.score(docs, *quality.learn(docs, labels))
+    return scored.select("doc_id", (key_crc() % 3 == 1).alias("held_out"), "score", "predicted")
+
+
 def op6_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     return sharding.shard(docs, 40).select(
@@ -64,6 +71,7 @@ def op10_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {
     "op1_warc": op1_warc,
+    "op2_quality": op2_quality,
     "op6_sharding": op6_sharding,
     "op7_bpe": op7_bpe,
     "op8_token_counts": op8_token_counts,
