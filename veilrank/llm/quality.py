@@ -24,7 +24,9 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from veilrank.llm.arrow import replaced, replaced_schema, text_chunks
+from veilrank.llm.arrow import (
+    SUMS, collect_sums, replaced, replaced_schema, sum_rows, text_chunks,
+)
 
 CELLS, WIDTH, ONES, WINDOW = 1 << 14, 64, 4, 2
 TRAIN_ROWS = 20_000  # labelled rows that the network is fitted on, at most
@@ -93,29 +95,10 @@ def context_sums(docs: DataFrame) -> np.ndarray:
                         for j in range(ONES):
                             at = word * WIDTH + places[near, j]
                             total += np.rint(np.bincount(at, signs[near, j], len(total))).astype(np.int64)
-        rows = total.reshape(-1, _BLOCK * WIDTH)
-        yield pa.RecordBatch.from_arrays(
-            [pa.array(np.arange(len(rows))), pa.array([r.tobytes() for r in rows], pa.binary())],
-            names=["block", "sums"],
-        )
-
-    def add(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held: dict[int, np.ndarray] = {}
-        for batch in batches:
-            for block, data in zip(batch.column(0).to_pylist(), batch.column(1)):
-                row = np.frombuffer(data.as_buffer(), np.int64)
-                held[block] = held[block] + row if block in held else row.copy()
-        yield pa.RecordBatch.from_arrays(
-            [pa.array(list(held), pa.int64()), pa.array([r.tobytes() for r in held.values()], pa.binary())],
-            names=["block", "sums"],
-        )
-
-    schema = "block long, sums binary"
-    sums = docs.select("text").mapInArrow(run, schema).repartition("block").mapInArrow(add, schema)
-    out = np.zeros((CELLS // _BLOCK, _BLOCK * WIDTH), np.int64)
-    for block, data in sums.collect():  # one row for each block of cells: 8 MB in all
-        out[block] += np.frombuffer(data, np.int64)
-    return out.reshape(CELLS, WIDTH)
+        yield sum_rows(total.reshape(CELLS, WIDTH), _BLOCK)
+
+    # 8 MB of sums in all, whatever the size of the corpus
+    return collect_sums(docs.select("text").mapInArrow(run, SUMS), (CELLS, WIDTH), _BLOCK)
 
 
 def word_vectors(docs: DataFrame) -> np.ndarray:

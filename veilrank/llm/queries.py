@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from veilrank.llm import bpe, language, quality, sharding, simhash, token_counts, warc
+from veilrank.llm import bpe, decontaminate, language, quality, sharding, simhash, token_counts, warc
 from veilrank.session import scratch_path
 
 
@@ -32,6 +32,11 @@ def op2_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return scored.select("doc_id", (key_crc() % 3 == 1).alias("held_out"), "score", "predicted")
 
 
+def op5_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    return decontaminate.contaminated(docs, table(spark, sf_dir, "benchmark"))
+
+
 def op6_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     return sharding.shard(docs, 40).select(
@@ -72,6 +77,7 @@ def op10_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES = {
     "op1_warc": op1_warc,
     "op2_quality": op2_quality,
+    "op5_decontamination": op5_decontamination,
     "op6_sharding": op6_sharding,
     "op7_bpe": op7_bpe,
     "op8_token_counts": op8_token_counts,
