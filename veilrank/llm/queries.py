@@ -6,7 +6,9 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from veilrank.llm import bpe, decontaminate, language, quality, sharding, simhash, token_counts, warc
+from veilrank.llm import (
+    bpe, decontaminate, language, quality, secret_scan, sharding, simhash, token_counts, warc,
+)
 from veilrank.session import scratch_path
 
 
@@ -32,6 +34,19 @@ def op2_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return scored.select("doc_id", (key_crc() % 3 == 1).alias("held_out"), "score", "predicted")
 
 
+def op3_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    found = secret_scan.scan(docs, secret_scan.train(secret_scan.samples(docs)))
+    spans, random = F.col("secrets"), secret_scan.KINDS.index("random")
+    base = F.filter(spans, lambda x: x["kind"] != random)
+    return found.select(
+        "doc_id",
+        *(secret_scan.count_of(spans, k).alias(f"n_{k}") for k in ("assign", "access", "hex")),
+        F.sha2(secret_scan.written(base), 256).alias("base_sha256"),
+        secret_scan.written(spans).alias("spans"),
+    )
+
+
 def op5_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     return decontaminate.contaminated(docs, table(spark, sf_dir, "benchmark"))
@@ -77,6 +92,7 @@ def op10_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES = {
     "op1_warc": op1_warc,
     "op2_quality": op2_quality,
+    "op3_secrets": op3_secrets,
     "op5_decontamination": op5_decontamination,
     "op6_sharding": op6_sharding,
     "op7_bpe": op7_bpe,
