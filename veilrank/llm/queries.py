@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 
 from veilrank.llm import (
     bpe, decontaminate, language, quality, secret_scan, sharding, simhash, token_counts, warc,
+    weighted_sampling,
 )
 from veilrank.session import scratch_path
 
@@ -47,6 +48,10 @@ def op3_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op4_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return weighted_sampling.with_edits(table(spark, sf_dir, "documents"))
+
+
 def op5_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     return decontaminate.contaminated(docs, table(spark, sf_dir, "benchmark"))
@@ -93,6 +98,7 @@ QUERIES = {
     "op1_warc": op1_warc,
     "op2_quality": op2_quality,
     "op3_secrets": op3_secrets,
+    "op4_fingerprints": op4_fingerprints,
     "op5_decontamination": op5_decontamination,
     "op6_sharding": op6_sharding,
     "op7_bpe": op7_bpe,
