@@ -18,6 +18,7 @@ from __future__ import annotations
 import heapq
 import json
 import mmap
+import re
 import tempfile
 import unicodedata
 from collections import Counter
@@ -30,6 +31,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from veilrank.llm.arrow import replaced, replaced_schema, text_chunks
+from veilrank.session import materialize
 
 #: Words longer than this are never in the automaton; they are merged.
 LONGEST = 32
@@ -49,6 +51,26 @@ def _byte_letters() -> list[str]:
     return letters
 
 
+def _latin_pattern(pattern: str) -> re.Pattern:
+    """The pattern with its classes spelt out for texts of Latin-1 alone, letters first."""
+    letters, numbers, space = "A-Za-zªµºÀ-ÖØ-öø-ÿ", "0-9²³¹¼-¾", r"\t-\r \x85\xa0"
+    kinds = {r"[\p{L}]+": f"[{letters}]+", r"[\p{N}]": f"[{numbers}]",
+             r"[^\s\p{L}\p{N}]+": f"[^{space}{letters}{numbers}]+"}
+    parts = pattern.split("|")
+    if parts[-3:] != list(kinds) or not all(re.fullmatch("'[a-z]+", x) for x in parts[:-3]):
+        raise ValueError(f"words are cut by other rules: {pattern}")
+    # An ending and a letter never begin alike, so their order is free.
+    return re.compile("|".join([kinds[parts[-3]], *parts[:-3], *map(kinds.get, parts[-2:])]))
+
+
+class _Codes(dict):
+    """A number for each word, in order of its first use."""
+
+    def __missing__(self, word: str) -> int:
+        self[word] = code = len(self)
+        return code
+
+
 class Vocabulary:
     """Ids, merges and cutting rules of a tokenizer file of the word-end kind."""
 
@@ -72,7 +94,7 @@ class Vocabulary:
 
     def ready(self) -> None:
         self._words = regex.compile(self.pattern)
-        self._space = regex.compile(r"\s+")
+        self._latin = _latin_pattern(self.pattern)
         special = sorted(self.special, key=len, reverse=True)
         self._special = regex.compile("(" + "|".join(map(regex.escape, special)) + ")")
 
@@ -93,9 +115,14 @@ class Vocabulary:
         return self.words_of_part(text)
 
     def words_of_part(self, text: str) -> list[str]:
-        text = self._space.sub(" ", unicodedata.normalize("NFC", text))
-        # Each character is lowered by itself: no final sigma.
-        return self._words.findall(text.replace("Σ", "σ").lower())
+        # Words hold no white space, so its folding to one space changes none of them.  Each
+        # character is lowered by itself: no final sigma.
+        text = unicodedata.normalize("NFC", text).replace("Σ", "σ").lower()
+        try:
+            text.encode("latin-1")
+        except UnicodeEncodeError:
+            return self._words.findall(text)
+        return self._latin.findall(text)
 
     def merge(self, word: str) -> list[int]:
         """The ids of a word by exact merging: the lowest rank first, the leftmost of equal ones."""
@@ -103,6 +130,8 @@ class Vocabulary:
             return [self.ids[word]]
         parts: list = [self.letters[b] for b in word.encode("utf-8", "replace")]
         parts[-1] += self.end
+        if len(parts) <= 16:
+            return [self.ids[p] for p in self.merge_short(parts)]
         n = len(parts)
         before, after = list(range(-1, n - 1)), list(range(1, n + 1))
         ranks = self.ranks
@@ -126,6 +155,23 @@ class Vocabulary:
                 heapq.heappush(heap, (r, k))
         return [self.ids[p] for p in parts if p is not None]
 
+    def merge_short(self, parts: list[str]) -> list[str]:
+        """The same order of merges by looking at all pairs each time."""
+        find, none = self.ranks.get, len(self.ranks)
+        pairs = [find(pair, none) for pair in zip(parts, parts[1:])]
+        while pairs:
+            rank = min(pairs)
+            if rank == none:
+                break
+            i = pairs.index(rank)
+            parts[i] += parts.pop(i + 1)
+            pairs.pop(i)
+            if i < len(pairs):
+                pairs[i] = find((parts[i], parts[i + 1]), none)
+            if i:
+                pairs[i - 1] = find((parts[i - 1], parts[i]), none)
+        return parts
+
     def decode(self, ids: list[int]) -> str:
         """Token names joined by a space: the file names no decoder, so that is its decoding."""
         return " ".join(self.names[i] for i in ids)
@@ -231,8 +277,11 @@ class Lexicon:
         return index
 
 
-def frequent_words(texts: DataFrame, vocabulary: Vocabulary, size: int) -> DataFrame:
-    """The ``size`` most frequent words of all texts, ties in order of the word: ``(word, n)``."""
+def frequent_words(texts: DataFrame, vocabulary: Vocabulary, size: int) -> list[str]:
+    """At most ``size`` of the most frequent words of all texts.
+
+    The counts' orders of magnitude, in eighths, give the count from which all words fit.
+    """
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: Counter = Counter()
@@ -254,7 +303,17 @@ def frequent_words(texts: DataFrame, vocabulary: Vocabulary, size: int) -> DataF
         yield told()
 
     counts = texts.select("text").mapInArrow(count, "word string, n long")
-    return counts.groupBy("word").agg(F.sum("n").alias("n")).orderBy(F.desc("n"), "word").limit(size)
+    totals = counts.groupBy("word").agg(F.sum("n").alias("n")).where("n > 1")
+    totals = materialize(totals.withColumn("level", F.floor(F.log2("n") * 8).cast("int")), "words")
+    least, left = None, size
+    for level, n in sorted(totals.groupBy("level").count().collect(), reverse=True):  # 504 rows at most
+        left -= n
+        if left < 0:
+            break
+        least = level
+    if least is None:
+        return []
+    return [r.word for r in totals.where(F.col("level") >= least).select("word").collect()]
 
 
 def encode(docs: DataFrame, path: str, lexicon_size: int = 65_536, decode: bool = True) -> DataFrame:
@@ -266,8 +325,8 @@ def encode(docs: DataFrame, path: str, lexicon_size: int = 65_536, decode: bool
     """
     vocabulary = Vocabulary(path)
     docs = docs.drop("ids", "decoded")
-    common = frequent_words(docs, vocabulary, lexicon_size).collect()
-    block = compile_words({r.word: vocabulary.merge(r.word) for r in common})
+    common = frequent_words(docs, vocabulary, lexicon_size)
+    block = compile_words({w: vocabulary.merge(w) for w in common})
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         own, lexicon = vocabulary, Lexicon(block)
@@ -275,11 +334,11 @@ def encode(docs: DataFrame, path: str, lexicon_size: int = 65_536, decode: bool
         merged: dict[str, list[int]] = {}
         for batch in batches:
             for part, texts in text_chunks(batch):
-                per_text, codes, seen = [], [], {}
+                per_text, codes, seen = [], [], _Codes()
                 for text in texts:
                     words = own.words(text)
                     per_text.append(len(words))
-                    codes += [seen.setdefault(w, len(seen)) for w in words]
+                    codes += map(seen.__getitem__, words)
                 words = list(seen)
                 found = lexicon.find(words)
                 unique: list[list[int]] = []
