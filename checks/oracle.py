@@ -62,10 +62,10 @@ RULES = [
     ("addr_label", "ADDRESS", r"\1<ADDRESS>", 0.7,
      r"((?:Address|Location)\s*[:：]\s*)([^\n]+)", 2, False),
     ("addr_unit", "ADDRESS", "<ADDRESS>", 0.7,
-     r"\b\d+/[A-Za-z0-9],?\s+[A-Za-z0-9\s,]{1,80},\s+[A-Za-z\s]{1,40},\s+[A-Za-z\s]{1,40}\b",
+     r"\b\d+/[A-Za-z0-9],?\s+[A-Za-z0-9\s,]+,\s+[A-Za-z\s]+,\s+[A-Za-z\s]+\b",
      0, True),
     ("addr_street", "ADDRESS", "<ADDRESS>", 0.7,
-     r"\b\d+\s+[A-Za-z0-9\s,]{1,80}(?:Street|Avenue|Road|Blvd|Drive|Lane|Place|Way|Apt|Suite"
+     r"\b\d+\s+[A-Za-z0-9\s,]+(?:Street|Avenue|Road|Blvd|Drive|Lane|Place|Way|Apt|Suite"
      r"|St|Rd|Dr|Ave)\b", 0, True),
     ("edu_month_range", "EDUCATION_DATES", "<EDUCATION_DATES>", 0.75,
      _FM + r"\s+\d{4}\s+to\s+" + _FM + r"\s+\d{4}", 0, False),
@@ -85,8 +85,8 @@ RULES = [
      r"((?:Phone|Tel|Mobile|Contact)\s*(?:Number|No|#|:)?\s*[:：]?\s*)"
      r"(\+?[\d(][\d \t().-]{5,}[\d)])", 2, False),
     ("worked_at", "COMPANY_NAME", r"\1<COMPANY>", 0.7,
-     r"([Ww]orked\s+(?:at|for|with)\s+)([A-Z][A-Za-z0-9\s&,.]{1,80}"
-     r"(?:Inc|LLC|Ltd|Limited|Corp|Corporation|Co|Company))", 2, False),
+     r"([Ww]orked\s+(?:at|for|with)\s+)([A-Z][A-Za-z0-9\s&,.]+?"
+     r"(?:Inc|LLC|Ltd|Limited|Corp|Corporation|Co|Company)\b)", 2, True),
     ("employer", "COMPANY_NAME", r"\1<COMPANY>", 0.8,
      r"([Ee]mployer\s*[:：]\s*)([^\n,]+)", 2, False),
     ("company", "COMPANY_NAME", r"\1<COMPANY>", 0.7,
@@ -96,7 +96,7 @@ RULES = [
     ("school_label", "SCHOOL_NAME", r"\1<SCHOOL>", 0.7,
      "(" + _ORG + r"\s*[:：]\s*)([^\n,]+)", 2, False),
     ("school_named", "SCHOOL_NAME", "<SCHOOL>", 0.7,
-     r"\b(?:[A-Z][a-z]+\s+){1,8}" + _ORG + r"\b", 0, True),
+     r"\b(?:[A-Z][a-z]+\s+)+" + _ORG + r"\b", 0, True),
     ("age_label", "AGE", r"\1<AGE>", 0.8, r"((?:Age|Years)\s*[:：]\s*)(\d{1,2})", 2, False),
     ("age_old", "AGE", r"<AGE>\2", 0.8, r"(\d{1,2})(\s+[Yy]ears\s+[Oo]ld)", 1, False),
     ("age_any", "AGE", r"\1<AGE>", 0.8, r"(\b[Aa]ge[:：]?\s*)(\d{1,2})", 2, True),
@@ -298,13 +298,17 @@ _REDACTED = f"""WITH {CORPUS}
 SELECT doc_id, {{}} AS anonymized_content FROM corpus"""
 ORACLE["write_redacted"] = _REDACTED.format(fold("text", RULES))
 ORACLE["write_entities_json"] = f"""WITH {LATEST}
-SELECT resume_id, entity_type, CAST(count(*) AS INTEGER) AS n
+SELECT resume_id, entity_type, string_agg(entity_text, ' | ' ORDER BY ord) AS texts
 FROM latest JOIN entities USING (doc_id) GROUP BY resume_id, entity_type"""
 ORACLE["sample_n"] = """SELECT doc_id, text FROM documents
 ORDER BY md5('42:' || doc_id), doc_id LIMIT 250"""
-ORACLE["incremental_redact"] = f"""
-SELECT doc_id, {fold('text', RULES)} AS anonymized_content, {resume_id('text')} AS resume_id
-FROM documents"""
+# All entities of a document as one text.
+ENTITY_LINES = """lines AS (SELECT doc_id, string_agg(line, '; ' ORDER BY line) AS entities FROM (
+    SELECT doc_id, lower(entity_type) || ': ' || string_agg(DISTINCT text, ' | ' ORDER BY text) AS line
+    FROM spans GROUP BY doc_id, entity_type) GROUP BY doc_id)"""
+ORACLE["incremental_redact"] = f"""WITH {MASKED}, {ENTITY_LINES}
+SELECT doc_id, anonymized_content, {resume_id('text')} AS resume_id,
+  coalesce(entities, '') AS entities FROM masked LEFT JOIN lines USING (doc_id)"""
 
 # --- Projections, filters, predicates ---------------------------------------------
 
@@ -373,7 +377,7 @@ _ASSIGNED = """assigned AS (SELECT doc_id, d.text, item_id, b.text AS jd_text
   FROM documents d JOIN benchmark b ON d.doc_id % (SELECT count(*) FROM benchmark) = b.item_id)"""
 ORACLE["token_budget"] = f"""WITH {_ASSIGNED},
   sides AS (SELECT doc_id, {tokens('jd_text')} AS a, {tokens('text')} AS b,
-    unnest([64, 512]) AS budget FROM assigned),
+    unnest([64, 512, 1536]) AS budget FROM assigned),
   kept AS (SELECT *, least(len(a), greatest(budget - len(b), (budget + 1) // 2)) AS ka FROM sides)
 SELECT doc_id, CAST(budget AS INTEGER) AS budget, array_to_string(a[1:ka], ' ') AS jd_cut,
   array_to_string(b[1:least(len(b), budget - ka)], ' ') AS resume_cut FROM kept"""
@@ -418,12 +422,12 @@ NEGATIVES = f"""{CLEAN},
     FROM clean),
   taking AS (SELECT doc_id, row_number() OVER (ORDER BY md5('43:' || doc_id), doc_id) AS r
     FROM clean),
-  negatives AS (SELECT doc_id * 2 + 1 AS pair_id, doc_id, c.category, g.jd_clean, c.resume_clean,
+  negatives AS (SELECT doc_id || ':0' AS pair_id, doc_id, c.category, g.jd_clean, c.resume_clean,
       0 AS label
     FROM clean c JOIN taking t USING (doc_id) JOIN giving g USING (r))"""
 PAIRS = f"""{NEGATIVES},
   pairs AS (SELECT * FROM negatives UNION ALL
-    SELECT doc_id * 2, doc_id, category, jd_clean, resume_clean, 1 FROM clean)"""
+    SELECT doc_id || ':1', doc_id, category, jd_clean, resume_clean, 1 FROM clean)"""
 SPLIT = """placed AS (SELECT *,
     row_number() OVER (PARTITION BY label ORDER BY md5('42:' || pair_id), pair_id) AS r,
     count(*) OVER (PARTITION BY label) AS n FROM pairs),
@@ -432,14 +436,15 @@ SPLIT = """placed AS (SELECT *,
 
 ORACLE["drop_columns"] = f"WITH {PAIRS} SELECT label, jd_clean, resume_clean FROM pairs"
 ORACLE["positive_pairs"] = f"""WITH {CLEAN}
-SELECT doc_id, doc_id * 2 AS pair_id, jd_clean, resume_clean, 1 AS label FROM clean"""
+SELECT doc_id, doc_id || ':1' AS pair_id, jd_clean, resume_clean, 1 AS label FROM clean"""
 ORACLE["negative_pairs"] = f"WITH {NEGATIVES} SELECT * EXCLUDE (category) FROM negatives"
 ORACLE["negative_pairs_avoid_self"] = f"""WITH {CLEAN},
   ranked AS (SELECT doc_id, jd_clean,
-    row_number() OVER (ORDER BY jd_clean, md5('42:' || doc_id), doc_id) AS r FROM clean),
+    row_number() OVER (ORDER BY md5('42:' || jd_clean), jd_clean, md5('42:' || doc_id), doc_id) AS r
+    FROM clean),
   sizes AS (SELECT max(n) AS shift, CAST(sum(n) AS BIGINT) AS total
     FROM (SELECT count(*) AS n FROM clean GROUP BY jd_clean))
-SELECT c.doc_id, c.doc_id * 2 + 1 AS pair_id, g.jd_clean, c.resume_clean, 0 AS label
+SELECT c.doc_id, c.doc_id || ':0' AS pair_id, g.jd_clean, c.resume_clean, 0 AS label
 FROM clean c JOIN ranked t USING (doc_id)
   JOIN ranked g ON g.r = (t.r - 1 + (SELECT shift FROM sizes)) % (SELECT total FROM sizes) + 1"""
 ORACLE["build_pairs"] = f"WITH {PAIRS} SELECT * EXCLUDE (category) FROM pairs"
@@ -455,7 +460,7 @@ SELECT DISTINCT doc_id FROM split WHERE split = 'train'
 ORACLE["lexical_score"] = f"""WITH {_ASSIGNED}
 SELECT doc_id, item_id, round({score(scrub('jd_text'), scrub('text'))}, 6) AS score FROM assigned"""
 ORACLE["score_pairs_with"] = f"""WITH {CLEAN}
-SELECT doc_id * 2 AS pair_id, round(CAST(length(jd_clean) AS DOUBLE)
+SELECT doc_id || ':1' AS pair_id, round(CAST(length(jd_clean) AS DOUBLE)
   / (length(jd_clean) + length(resume_clean)), 6) AS p_match FROM clean"""
 ORACLE["rank_resumes"] = f"""WITH best AS (
   SELECT doc_id, {score(scrub(q(JD_TEXT)), scrub('text'))} AS score, text FROM documents
@@ -512,7 +517,51 @@ GROUP BY entity_type"""
 ORACLE["row_and_column_counts"] = """
 SELECT count(*) AS n_rows, (SELECT count(*) FROM (DESCRIBE SELECT * FROM documents)) AS n_columns,
   least(count(*), 250) AS n_sampled FROM documents"""
-ORACLE["redaction_job"] = f"""WITH {MASKED}
-SELECT doc_id, {resume_id('text')} AS resume_id, anonymized_content,
-  CASE WHEN {blank('text')} THEN 'blank' WHEN anonymized_content = text THEN 'clean'
-    ELSE 'redacted' END AS status FROM masked"""
+_STATUS = f"""CASE WHEN {blank('text')} THEN 'blank' WHEN anonymized_content = text THEN 'clean'
+    ELSE 'redacted' END AS status"""
+ORACLE["redaction_job"] = f"""WITH {MASKED}, {ENTITY_LINES}
+SELECT doc_id, {resume_id('text')} AS resume_id, anonymized_content, {_STATUS},
+  coalesce(entities, '') AS entities FROM masked LEFT JOIN lines USING (doc_id)"""
+ORACLE["entity_total_by_resume"] = f"""WITH {LATEST}
+SELECT count(*) AS n_entities FROM latest JOIN entities USING (doc_id)"""
+
+
+def _statistics(method: str, found: str) -> str:
+    return f"""SELECT '{method}' AS method, name, n FROM (
+      WITH kept AS (SELECT resume_id, max(doc_id) AS doc_id FROM ids
+          WHERE doc_id IN (SELECT doc_id FROM {found}) GROUP BY resume_id),
+        own AS (SELECT * FROM {found} JOIN kept USING (doc_id))
+      SELECT entity_type AS name, count(*) AS n FROM own GROUP BY entity_type
+      UNION ALL SELECT 'total', count(*) FROM own
+      UNION ALL SELECT 'covered', count(DISTINCT resume_id) FROM ids
+        WHERE doc_id IN (SELECT doc_id FROM {found}))"""
+
+
+ORACLE["redaction_job_statistics"] = f"""WITH {entities_cte()}, {IDS},
+  {ALL_SPANS.removeprefix(CORPUS).lstrip(', ')},
+  span_texts AS (SELECT DISTINCT doc_id, lower(entity_type) AS entity_type, text FROM spans)
+{_statistics('spans', 'span_texts')} UNION ALL {_statistics('rules', 'entities')}"""
+ORACLE["redaction_job_table"] = "WITH " + MASKED.replace(CORPUS, f"""wide AS ({WIDE_SQL}),
+  corpus AS MATERIALIZED (SELECT id AS doc_id, note, concat_ws(chr(10) || chr(10), {', '.join(
+    f'CASE WHEN NOT {blank(x)} THEN {x} END' for x in _AS_TEXT.values())}) AS text FROM wide)""") + f"""
+SELECT doc_id, note, anonymized_content, {_STATUS} FROM masked JOIN corpus USING (doc_id, text)"""
+_RESUMES = f"""resumes AS MATERIALIZED ({RESUMES_SQL}),
+  corpus AS MATERIALIZED (SELECT doc_id, text FROM resumes)"""
+ORACLE["redact_then_match"] = "WITH " + MASKED.replace(CORPUS, _RESUMES) + ", " + PAIRS.replace(
+    CLEAN,
+    f"""clean AS MATERIALIZED (SELECT doc_id, category, {scrub('category')} AS jd_clean,
+      {scrub('anonymized_content')} AS resume_clean FROM masked JOIN resumes USING (doc_id, text))""",
+) + f", {SPLIT} SELECT * EXCLUDE (category) FROM split"
+
+# --- Models: what SQL can state of them ----------------------------------------------------
+
+_MADE = f"""resumes AS ({RESUMES_SQL}),
+  pairs AS (SELECT doc_id || ':' || label AS pair_id, doc_id, CAST(label AS INTEGER) AS label
+    FROM resumes, (VALUES (0), (1)) AS v(label)), {SPLIT}"""
+ORACLE["fit_match_model"] = f"""WITH {_MADE}
+SELECT split, count(*) AS n, true AS learned FROM split WHERE split <> 'train' GROUP BY split"""
+ORACLE["score_pairs"] = f"""WITH {_MADE}
+SELECT pair_id, doc_id, label, split, true AS consistent FROM split WHERE split <> 'train'"""
+ORACLE["rank_by_model"] = """
+SELECT least(5, count(*)) AS n_of_category FROM customer JOIN nation ON c_nationkey = n_nationkey
+WHERE c_mktsegment = 'BUILDING'"""

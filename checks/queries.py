@@ -3,11 +3,13 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from checks import tables as t
+from veilrank.catalog import SCORING_TOKENS, TRAIN_TOKENS
 from veilrank.functions import text as tx
 from veilrank.operators import content, entities, matching, metrics, pairs, ranking, redact
 from veilrank.operators import ranks, statistics
@@ -95,7 +97,7 @@ def _(spark, d):
     schema = "resume_id string, entities map<string,array<string>>"
     stored = spark.read.schema(schema).json(path)
     return stored.select("resume_id", F.explode("entities").alias("entity_type", "texts")).select(
-        "resume_id", "entity_type", F.size("texts").alias("n")
+        "resume_id", "entity_type", F.array_join("texts", " | ").alias("texts")
     )
 
 
@@ -104,15 +106,27 @@ def _(spark, d):
     return ranks.sample_n(t.table(spark, d, "documents").select("doc_id", "text"), 250)
 
 
+def _entity_line(found):
+    """All entities of a map as one text."""
+    lines = F.transform(F.map_entries(found), lambda e: F.concat(
+        e["key"], F.lit(": "), F.array_join(F.array_sort(e["value"]), " | ")
+    ))
+    return F.array_join(F.array_sort(lines), "; ")
+
+
 @query("incremental_redact")
 def _(spark, d):
-    schema = t.table(spark, d, "documents").schema
-    stream = incremental.stream_parquet(spark, d, schema, pattern="documents.parquet")
+    arrived = scratch_path(spark, "arrived")
+    docs = t.corpus(spark, d)
+    docs.write.parquet(arrived)
+    stream = incremental.stream_parquet(spark, arrived, docs.schema)
     out, checkpoint = scratch_path(spark, "stream"), scratch_path(spark, "stream-state")
     cores = spark.sparkContext.defaultParallelism
     started = incremental.incremental_redact(stream, out, checkpoint, partitions=cores)
     started.awaitTermination()
-    return spark.read.parquet(out).select("doc_id", "anonymized_content", "resume_id")
+    return spark.read.parquet(out).select(
+        "doc_id", "anonymized_content", "resume_id", _entity_line(F.col("entities")).alias("entities")
+    )
 
 
 # --- Projections, filters, predicates ---------------------------------------
@@ -237,24 +251,13 @@ def _(spark, d):
 
 @query("token_budget")
 def _(spark, d):
-    sides = t.assigned_jds(spark, d).select(
-        "doc_id",
-        tx.tokens(F.col("jd_text")).alias("a"),
-        tx.tokens(F.col("text")).alias("b"),
-        F.explode(F.array(F.lit(64), F.lit(512))).alias("budget"),
-    )
-    out = []
-    for budget in (64, 512):
-        keep_a, keep_b = tx.kept_tokens(F.size("a"), F.size("b"), budget)
-        out.append((budget, keep_a, keep_b))
-    keep_a = F.when(F.col("budget") == 64, out[0][1]).otherwise(out[1][1])
-    keep_b = F.when(F.col("budget") == 64, out[0][2]).otherwise(out[1][2])
-    return sides.select(
-        "doc_id",
-        "budget",
-        F.array_join(F.slice("a", F.lit(1), keep_a), " ").alias("jd_cut"),
-        F.array_join(F.slice("b", F.lit(1), keep_b), " ").alias("resume_cut"),
-    )
+    sides = t.assigned_jds(spark, d)
+    cut = [
+        sides.select("doc_id", F.lit(n).alias("budget"),
+                     *tx.token_budget(F.col("jd_text"), F.col("text"), n))
+        for n in (64, SCORING_TOKENS, TRAIN_TOKENS)
+    ]
+    return reduce(DataFrame.unionByName, cut)
 
 
 # --- Redaction ---------------------------------------------------------------
@@ -362,7 +365,7 @@ def _(spark, d):
 
 @query("redact_with_status")
 def _(spark, d):
-    made = redaction_job.redaction_table(t.blank_resumes(spark, d), "text")
+    made = redaction_job.redaction_table(t.blank_resumes(spark, d), "text", method="rules")
     return made.select("doc_id", "status", "anonymized_content")
 
 
@@ -433,13 +436,18 @@ def _(spark, d):
 
 @query("fit_match_model")
 def _(spark, d):
-    return matching_job.run_matching(t.resumes(spark, d)).metrics
+    """What a model has to reach on each part: all rows scored, and better than guessing."""
+    found = matching_job.run_matching(t.resumes(spark, d)).metrics
+    return found.select("split", "n", (F.col("accuracy") > 0.7).alias("learned"))
 
 
 @query("score_pairs")
 def _(spark, d):
+    """Every pair outside training once, with probabilities that add up and their argmax."""
     scored = matching_job.run_matching(t.resumes(spark, d)).scored
-    return scored.drop("jd_clean", "resume_clean")
+    whole = F.abs(F.col("p_match") + F.col("p_mismatch") - 1) < 1e-9
+    best = F.col("prediction") == F.when(F.col("p_match") > F.col("p_mismatch"), 1).otherwise(0)
+    return scored.select("pair_id", "doc_id", "label", "split", (whole & best).alias("consistent"))
 
 
 def _length_share(jd, resume):
@@ -456,8 +464,11 @@ def _(spark, d):
 
 @query("rank_by_model")
 def _(spark, d):
-    model = matching_job.run_matching(t.resumes(spark, d)).model
-    return matching.rank_by_model(model, t.resumes(spark, d), "Building Sector")
+    resumes = t.resumes(spark, d)
+    model = matching_job.run_matching(resumes).model
+    best = matching.rank_by_model(model, resumes, "BUILDING")
+    right = best.join(resumes.select("doc_id", "category"), "doc_id").where("category = 'BUILDING'")
+    return right.agg(F.count(F.lit(1)).alias("n_of_category"))
 
 
 @query("rank_resumes")
@@ -543,13 +554,49 @@ def _(spark, d):
     return content.row_and_column_counts(t.table(spark, d, "documents"), 250)
 
 
+@query("entity_total_by_resume")
+def _(spark, d):
+    latest = entities.entities_by_resume(_with_entities(spark, d), "doc_id", "resume_id", "entities")
+    return statistics.entity_total(latest)
+
+
+def _job(spark, table, **options):
+    return redaction_job.run_redaction(
+        table, scratch_path(spark, "job-redacted"), scratch_path(spark, "job-entities"), **options
+    )
+
+
 @query("redaction_job")
 def _(spark, d):
-    report = redaction_job.run_redaction(
-        t.corpus(spark, d),
-        scratch_path(spark, "job-redacted"),
-        scratch_path(spark, "job-entities"),
-        content_column="text",
-        method="spans",
+    report = _job(spark, t.corpus(spark, d), content_column="text")
+    return report.redacted.select(
+        "doc_id", "status", "resume_id", "anonymized_content",
+        _entity_line(F.col("entities")).alias("entities"),
     )
-    return report.redacted.select("doc_id", "status", "resume_id", "anonymized_content")
+
+
+@query("redaction_job_statistics")
+def _(spark, d):
+    """The report's counts, total and coverage after both methods."""
+    rows = []
+    for method in ("spans", "rules"):
+        report = _job(spark, t.corpus(spark, d), content_column="text", method=method)
+        counts = report.counts.select(F.col("entity_type").alias("name"), F.col("n_entities").alias("n"))
+        total = report.total.select(F.lit("total").alias("name"), F.col("n_entities").alias("n"))
+        covered = report.coverage.select(F.lit("covered").alias("name"), F.col("n_with_pii").alias("n"))
+        for part in (counts, total, covered):
+            rows.append(part.withColumn("method", F.lit(method)))
+    return reduce(DataFrame.unionByName, rows)
+
+
+@query("redaction_job_table")
+def _(spark, d):
+    """The written table: content columns are gone, the key is no content, the rest is there."""
+    report = _job(spark, t.wide_resumes(spark, d).withColumnRenamed("id", "doc_id"))
+    return report.redacted.drop("entities", "resume_id")
+
+
+@query("redact_then_match")
+def _(spark, d):
+    report = _job(spark, t.resumes(spark, d), content_column="text")
+    return matching_job.split_pairs(report.redacted, resume="anonymized_content")

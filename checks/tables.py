@@ -63,6 +63,11 @@ _LINES = (
     ("k % 3 = 0", "'University of Pune'"),
     ("k % 3 = 1", "'School: Hill Top'"),
     ("k % 3 = 2", "'Delhi Public School'"),
+    ("k % 13 = 0", "'7 Near the old temple behind the water tank opposite the new bus stand and the '"
+                   " || 'big vegetable market of the Long Hill Road'"),
+    ("k % 13 = 1", "'Worked at Acme and Sons Trading and Shipping and Storage and Insurance and '"
+                   " || 'Banking and Travel and Computer Services of Pune Ltd'"),
+    ("k % 13 = 2", "'Aa Bb Cc Dd Ee Ff Gg Hh Ii Jj University'"),
     ("k % 3 = 0", f"'Age: ' || {_AGE}"),
     ("k % 3 = 1", f"{_AGE} || ' years old'"),
     ("k % 3 = 2", f"'age ' || {_AGE}"),

@@ -3,7 +3,8 @@ import pytest
 from pyspark.sql import functions as F
 
 from veilrank.operators import matching, metrics, pairs, ranking, ranks
-from veilrank.plans.matching_job import run_matching
+from veilrank.plans.matching_job import run_matching, split_pairs
+from veilrank.session import materialize, spread, with_row_key
 
 
 def clean_table(spark, n, hot=0.4):
@@ -163,3 +164,49 @@ def test_own_scorer(spark):
     scored = matching.score_pairs_with(df, lambda jd, resume: jd.str.len() / resume.str.len())
     assert scored.columns == [*df.columns, "p_match"]
     assert scored.first().p_match == pytest.approx(1 / 3)
+
+
+def resumes_of(spark, n, key_type):
+    rows = [(f"cat{i % 3}", f"Text {i % 4} a@b") for i in range(n)]
+    df = spark.createDataFrame(rows, "category string, text string")
+    key = F.monotonically_increasing_id() % 1_000_003
+    return df.withColumn("doc_id", F.xxhash64(key) if key_type == "hash" else F.concat(F.lit("é/"), key))
+
+
+@pytest.mark.parametrize("key_type", ["hash", "string"])
+@pytest.mark.parametrize("avoid_self", [False, True])
+def test_pairs_of_any_key(spark, key_type, avoid_self):
+    df = materialize(resumes_of(spark, 40, key_type), "keyed")
+    made = split_pairs(df, avoid_self=avoid_self).collect()
+    assert len(made) == 80 and len({r.pair_id for r in made}) == 80
+    assert {r.pair_id for r in made} == {f"{k.doc_id}:{y}" for k in df.collect() for y in (0, 1)}
+
+
+def test_repeated_keys_raise_and_row_keys_mend_them(spark, tmp_path):
+    df = spark.createDataFrame([("HR", "same")] * 5 + [("IT", "other")] * 4, "category string, text string")
+    hashed = df.withColumn("doc_id", F.xxhash64("text"))
+    with pytest.raises(ValueError, match="doc_id"):
+        split_pairs(hashed)
+    keyed = with_row_key(df, "doc_id", str(tmp_path / "keyed"))
+    assert split_pairs(keyed).count() == 18
+
+
+def test_ranks_of_many_groups_take_no_single_task(spark):
+    df = spark.range(300).select(F.col("id").alias("doc_id"), F.md5((F.col("id") % 90).cast("string")).alias("g"))
+    ranked = ranks.grouped_rank(df, "g", "doc_id", 42, "r")
+    rows = sorted(ranked.collect(), key=lambda r: r.r)
+    assert [r.r for r in rows] == list(range(1, 301))
+    places = [r.g for r in rows]
+    assert sum(a != b for a, b in zip(places, places[1:])) == 89  # each group is one run
+
+
+def test_large_splittable_inputs_stay_where_they_are(spark, tmp_path):
+    spark.range(100_000).coalesce(2).write.parquet(str(tmp_path / "t"))
+    df = spark.read.parquet(str(tmp_path / "t"))
+    assert "Exchange" in spread(df, "id")._jdf.queryExecution().executedPlan().toString()
+    before = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "16k")
+    try:
+        assert spread(df, "id") is df
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", before)

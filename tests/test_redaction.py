@@ -1,4 +1,5 @@
 from hashlib import md5
+from pathlib import Path
 
 import pytest
 from pyspark.sql import functions as F
@@ -6,7 +7,7 @@ from pyspark.sql import functions as F
 from veilrank.functions import text as tx
 from veilrank.operators import entities as en
 from veilrank.operators.redact import blank_guard, redact, redact_column, text_status
-from veilrank.plans.redaction_job import run_redaction
+from veilrank.plans.redaction_job import redaction_table, run_redaction
 
 T = F.col("text")
 
@@ -48,6 +49,41 @@ def test_long_run_of_capitalised_words(each):
     assert out == "<NAME> " * 10_000
 
 
+def test_long_runs_end_soon(each):
+    school = "School. " + "Foo " * 20_000
+    assert each(redact_column(T, ["SCHOOL_NAME"]), school) == [school]
+    named = "Foo " * 20_000 + "University"
+    assert each(redact_column(T, ["SCHOOL_NAME"]), named) == ["<SCHOOL>"]
+    worked = "worked at " + "Foo " * 10_000
+    assert each(redact_column(T, ["COMPANY_NAME"]), worked) == [worked]
+
+
+def test_a_type_without_rules_is_not_left_raw_silently(each, texts):
+    with pytest.raises(ValueError, match="NATIONALITY"):
+        redact_column(T, ["NATIONALITY", "AGE"])
+    made = redaction_table(texts("Nationality: Indian"), "text", ["NATIONALITY"]).first()
+    assert made.anonymized_content == "Nationality: <NATIONALITY>" and made.status == "redacted"
+    low = redaction_table(texts("since Mar 2015"), "text", threshold=0.6).first()
+    assert "2015" not in low.anonymized_content
+
+
+def test_job_keeps_other_columns_and_the_key_is_no_content(spark, tmp_path):
+    rows = [("HR", "Ann Lee", 4155550123), ("IT", "plain", 4155550124)]
+    df = spark.createDataFrame(rows, "Category string, skills string, doc_id long")
+    report = run_redaction(df, str(tmp_path / "out"), str(tmp_path / "entities"), format="parquet")
+    got = {r.doc_id: r for r in report.redacted.collect()}
+    assert got[4155550123].anonymized_content == "<NAME>" and got[4155550123].Category == "HR"
+    assert got[4155550124].status == "clean"
+    assert Path(report.path).exists()
+    report.close()
+    assert not Path(report.path).exists()
+    stored = spark.read.parquet(str(tmp_path / "out"))
+    assert sorted(stored.columns) == ["Category", "anonymized_content", "doc_id"]
+    whole = spark.createDataFrame(rows, "Category string, Resume string, doc_id long")
+    report = run_redaction(whole, str(tmp_path / "o2"), str(tmp_path / "e2"))
+    assert {r.anonymized_content for r in report.redacted.collect()} == {"HR\n\n<NAME>", "IT\n\nplain"}
+
+
 def test_long_run_without_spaces(each):
     line = "x" * 200_000 + " a@b"
     assert each(tx.scrub_email(T), line) == ["x" * 200_000 + " <EMAIL>"]

@@ -3,8 +3,7 @@ import json
 from pyspark.sql import functions as F
 
 from veilrank import session
-from veilrank.operators.entities import entity_map
-from veilrank.operators.redact import redact_column
+from veilrank.plans.redaction_job import redaction_table
 from veilrank.sources import readers, writers
 from veilrank.streaming.incremental import incremental_redact, stream_parquet
 
@@ -60,11 +59,8 @@ def test_stream_equals_batch_and_restarts_cleanly(spark, texts, tmp_path):
         incremental_redact(stream, out, state, partitions=2).awaitTermination()
         return spark.read.parquet(out).select("doc_id", "anonymized_content", "entities")
 
-    text = F.col("text")
-
     def batch(df):
-        redacted = redact_column(text).alias("anonymized_content")
-        return df.select("doc_id", redacted, entity_map(text).alias("entities"))
+        return redaction_table(df, "text").select("doc_id", "anonymized_content", "entities")
 
     def rows(df):
         return sorted(map(str, df.collect()))
@@ -85,10 +81,9 @@ def test_shared_folder_comes_from_the_session(spark, texts):
     assert sorted(map(tuple, stored.collect())) == sorted(map(tuple, df.collect()))
 
 
-def test_spread_only_where_files_are_few(spark, tmp_path):
-    spark.range(100).coalesce(1).write.parquet(str(tmp_path / "one"))
-    few = session.spread(spark.read.parquet(str(tmp_path / "one")), "id")
-    assert few.rdd.getNumPartitions() == spark.sparkContext.defaultParallelism
-    spark.range(100).repartition(16).write.parquet(str(tmp_path / "many"))
-    many = spark.read.parquet(str(tmp_path / "many"))
-    assert session.spread(many, "id") is many
+def test_spread_goes_by_bytes_and_not_by_files(spark, tmp_path):
+    cores = spark.sparkContext.defaultParallelism
+    for name, files in (("one", 1), ("many", 2 * cores)):
+        spark.range(100).repartition(files).write.parquet(str(tmp_path / name))
+        small = session.spread(spark.read.parquet(str(tmp_path / name)), "id")
+        assert small.rdd.getNumPartitions() == cores

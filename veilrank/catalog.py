@@ -143,11 +143,12 @@ RULES = (
          r"((?:Address|Location)\s*[:：]\s*)([^\n]+)",
          value=2, needs=("Address", "Location"), head="[AL]", names_first=20),
     Rule("addr_unit", "ADDRESS", "<ADDRESS>", 0.7,
-         r"\b\d+/[A-Za-z0-9],?\s+[A-Za-z0-9\s,]{1,80},\s+[A-Za-z\s]{1,40},\s+[A-Za-z\s]{1,40}\b",
+         r"\b\d+/[A-Za-z0-9],?\s+[A-Za-z0-9\s,]+,\s+[A-Za-z\s]+,\s+[A-Za-z\s]+\b",
          needs=("/",), head=r"\d", names_first=21),
     Rule("addr_street", "ADDRESS", "<ADDRESS>", 0.7,
-         r"\b\d+\s+[A-Za-z0-9\s,]{1,80}"
+         r"\b\d+\s+[A-Za-z0-9\s,]+"
          r"(?:Street|Avenue|Road|Blvd|Drive|Lane|Place|Way|Apt|Suite|St|Rd|Dr|Ave)\b",
+         needs=("St", "Ave", "Road", "Blvd", "Dr", "Lane", "Place", "Way", "Apt", "Suite", "Rd"),
          head=r"\d", names_first=19),
     Rule("edu_month_range", "EDUCATION_DATES", "<EDUCATION_DATES>", 0.75,
          _MONTH + r"\s+\d{4}\s+to\s+" + _MONTH + r"\s+\d{4}",
@@ -179,7 +180,7 @@ RULES = (
          value=2, needs=("Phone", "Tel", "Mobile", "Contact"), head="[CMPT]", names_first=7),
     Rule("worked_at", "COMPANY_NAME", "$1<COMPANY>", 0.7,
          r"([Ww]orked\s+(?:at|for|with)\s+)"
-         r"([A-Z][A-Za-z0-9\s&,.]{1,80}(?:Inc|LLC|Ltd|Limited|Corp|Corporation|Co|Company))",
+         r"([A-Z][A-Za-z0-9\s&,.]+?(?:Inc|LLC|Ltd|Limited|Corp|Corporation|Co|Company)\b)",
          value=2, needs=("orked",), names_first=31),
     Rule("employer", "COMPANY_NAME", "$1<COMPANY>", 0.8,
          r"([Ee]mployer\s*[:：]\s*)([^\n,]+)",
@@ -196,7 +197,11 @@ RULES = (
          value=2, needs=("University", "College", "Institute", "School"), head="[CISU]",
          names_first=33),
     Rule("school_named", "SCHOOL_NAME", "<SCHOOL>", 0.7,
-         r"\b(?:[A-Z][a-z]+\s+){1,8}" + _ORG + r"\b",
+         # Capitalised words without a bound: one class in a loop, and what each character must
+         # follow.  The look-behind at the start only skips starts inside a run, so that
+         # a long run without an organisation word is not searched from every word of it.
+         r"\b(?=[A-Z])(?<!\b[A-Z][a-z]{1,40}\s{1,4})"
+         r"(?:[A-Za-z\s](?<!\s[a-z])(?<![A-Za-z][A-Z])(?<![A-Z]\s))+(?<=\s)" + _ORG + r"\b",
          needs=("University", "College", "Institute", "School"), head="[A-Z]", names_first=34),
     Rule("age_label", "AGE", "$1<AGE>", 0.8,
          r"((?:Age|Years)\s*[:：]\s*)(\d{1,2})",

@@ -87,5 +87,15 @@ def kept_tokens(n_jd: Column, n_resume: Column, budget: int) -> tuple[Column, Co
     return keep_jd, keep_resume
 
 
+def token_budget(jd: Column, resume: Column, budget: int) -> tuple[Column, Column]:
+    """Both texts cut to a shared budget of tokens, ``(jd_cut, resume_cut)``, the longer first."""
+    a, b = tokens(jd), tokens(resume)
+    keep_a, keep_b = kept_tokens(F.size(a), F.size(b), budget)
+    return (
+        F.array_join(F.slice(a, F.lit(1), keep_a), " ").alias("jd_cut"),
+        F.array_join(F.slice(b, F.lit(1), keep_b), " ").alias("resume_cut"),
+    )
+
+
 def preview_line(score: Column, text: Column, width: int = 80) -> Column:
     return F.format_string("%.4f | %s…", score, F.substring(text, 1, width))

@@ -17,10 +17,11 @@ def derive_clean_columns(
     )
 
 
-def discover_content_columns(df: DataFrame) -> list[str]:
-    """Columns named like résumé content; else every column but ``id``.  Runs no job."""
-    named = [c for c in df.columns if any(k in c.lower() for k in CONTENT_KEYWORDS)]
-    return named or [c for c in df.columns if c.lower() != "id"]
+def discover_content_columns(df: DataFrame, key: str = "id") -> list[str]:
+    """Columns named like résumé content; else every column but ``id`` and the key.  Runs no job."""
+    keys = {"id", key.lower()}
+    columns = [c for c in df.columns if c.lower() not in keys]
+    return [c for c in columns if any(k in c.lower() for k in CONTENT_KEYWORDS)] or columns
 
 
 def combine_content(df: DataFrame, columns: list[str]) -> Column:
@@ -30,12 +31,15 @@ def combine_content(df: DataFrame, columns: list[str]) -> Column:
 
 
 def choose_content(
-    df: DataFrame, content_column: str | None = "content", output: str = "combined_content"
+    df: DataFrame,
+    content_column: str | None = "content",
+    output: str = "combined_content",
+    key: str = "id",
 ) -> tuple[DataFrame, str]:
-    """The given column if the table has it, else the combined content columns."""
+    """The given column if the table has it, else the combined content columns; never the key."""
     if content_column is not None and content_column in df.columns:
         return df, content_column
-    return df.withColumn(output, combine_content(df, discover_content_columns(df))), output
+    return df.withColumn(output, combine_content(df, discover_content_columns(df, key))), output
 
 
 def null_audit(df: DataFrame, fail: bool = False) -> DataFrame:

@@ -17,14 +17,15 @@ from pyspark.sql.types import DoubleType, StructField, StructType
 from veilrank.functions.text import argmax_label, distinct_words, scrub, words
 
 HASH_SIZE = 1 << 16
-_STEPS = 10
+MIN_FREQUENCY = 2
+_STEPS = 10  # of the share, which is at most one
 
 
 def with_terms(pairs: DataFrame) -> DataFrame:
     """Terms to learn from: words of either side and of both, and how far they overlap.
 
     The overlap goes in as a term per step, so that every feature has the same hashed form and
-    no column of a fixed position is needed.
+    no column of a fixed position is needed; the number of shared words in steps of its logarithm.
     """
     wanted, held = distinct_words(F.col("jd_clean")), words(F.col("resume_clean"))
     staged = pairs.withColumns({"_jd": wanted, "_resume": held})
@@ -32,7 +33,7 @@ def with_terms(pairs: DataFrame) -> DataFrame:
     share = F.coalesce(F.try_divide(F.size("_shared").cast("double"), F.size("_jd")), F.lit(0.0))
     steps = F.array(
         F.concat(F.lit("overlap "), F.floor(share * _STEPS).cast("string")),
-        F.concat(F.lit("shared "), F.least(F.size("_shared"), F.lit(_STEPS)).cast("string")),
+        F.concat(F.lit("shared "), F.floor(F.log2(F.size("_shared") + 1) * 2).cast("string")),
     )
 
     def tagged(tag: str, column: str) -> Column:
@@ -45,12 +46,21 @@ def with_terms(pairs: DataFrame) -> DataFrame:
 
 
 def fit_match_model(
-    train: DataFrame, label: str = "label", max_iter: int = 30, reg: float = 0.01
+    train: DataFrame,
+    label: str = "label",
+    max_iter: int = 30,
+    reg: float = 0.01,
+    features: int = HASH_SIZE,
+    min_frequency: int = MIN_FREQUENCY,
 ) -> PipelineModel:
-    """Fit P(match) on training pairs.  Runs at once."""
+    """Fit P(match) on training pairs.  Runs at once.
+
+    Terms are hashed into ``features`` places; those in fewer than ``min_frequency`` pairs have no
+    weight.
+    """
     stages = [
-        HashingTF(inputCol="terms", outputCol="tf", numFeatures=HASH_SIZE, binary=True),
-        IDF(inputCol="tf", outputCol="features", minDocFreq=2),
+        HashingTF(inputCol="terms", outputCol="tf", numFeatures=features, binary=True),
+        IDF(inputCol="tf", outputCol="features", minDocFreq=min_frequency),
         LogisticRegression(labelCol=label, maxIter=max_iter, regParam=reg),
     ]
     return Pipeline(stages=stages).fit(with_terms(train).select("terms", label))

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from veilrank.operators.ranks import grouped_rank, hash_cuts, hash_rank, up_to
@@ -11,21 +11,27 @@ SEED = 42
 SHARES = {"train": 70, "val": 15, "test": 15}
 
 
+def pair_name(key: str, label: int) -> Column:
+    """A pair's id: the key, of any type, and the label."""
+    return F.concat(F.col(key).cast("string"), F.lit(f":{label}"))
+
+
+def check_keys(df: DataFrame, key: str) -> DataFrame:
+    """The table itself; raises at once if a key is null or held by two rows.  Only keys move."""
+    counts = df.groupBy(key).agg(F.count(F.lit(1)).alias("n"))
+    bad = counts.where((F.col("n") > 1) | F.col(key).isNull()).select(key).limit(3).collect()
+    if bad:
+        raise ValueError(f"{key} is null or repeated, as in {[r[0] for r in bad]}; see with_row_key")
+    return df
+
+
 def positive_pairs(clean: DataFrame, key: str = "doc_id") -> DataFrame:
     """Every résumé with its own category, label 1."""
-    return clean.withColumns({"pair_id": F.col(key) * 2, "label": F.lit(1)})
+    return clean.withColumns({"pair_id": pair_name(key, 1), "label": F.lit(1)})
 
 
-def negative_pairs(
-    clean: DataFrame, key: str = "doc_id", seed: int = SEED, avoid_self: bool = False
-) -> DataFrame:
-    """Every résumé with the job description of another row under a seeded permutation, label 0.
-
-    Only keys and job descriptions are ranked and joined; the résumé text moves once, to meet
-    its new job description.  As in a plain permutation a row may draw its own category;
-    ``avoid_self`` rotates the rows, ordered by category, by the size of the largest category,
-    which rules that out unless one category holds more than half of all rows.
-    """
+def _drawn(clean: DataFrame, key: str, seed: int, avoid_self: bool) -> DataFrame:
+    """The job description that every key draws: ``(key, jd_drawn)``."""
     jds = clean.select(key, "jd_clean")
     if avoid_self:
         ranked = grouped_rank(jds, "jd_clean", key, seed, "_rank")
@@ -36,23 +42,49 @@ def negative_pairs(
     else:
         ranked = hash_rank(jds, key, seed, "_rank")
         takers = hash_rank(jds.select(key), key, seed + 1, "_rank")
-    drawn = takers.join(ranked.select("_rank", "jd_clean"), "_rank").drop("_rank")
+    given = ranked.select("_rank", F.col("jd_clean").alias("jd_drawn"))
+    return takers.join(given, "_rank").drop("_rank")
+
+
+def negative_pairs(
+    clean: DataFrame, key: str = "doc_id", seed: int = SEED, avoid_self: bool = False
+) -> DataFrame:
+    """Every résumé with the job description of another row under a seeded permutation, label 0.
+
+    Only keys and job descriptions are ranked and joined; the résumé text moves once, to meet
+    its new job description.  As in a plain permutation a row may draw its own category;
+    ``avoid_self`` rotates the rows, ordered by category, by the size of the largest category,
+    which rules that out unless one category holds more than half of all rows.
+    """
+    drawn = _drawn(clean, key, seed, avoid_self).withColumnRenamed("jd_drawn", "jd_clean")
     mismatched = clean.drop("jd_clean").join(drawn, key)
-    return mismatched.withColumns({"pair_id": F.col(key) * 2 + 1, "label": F.lit(0)})
+    return mismatched.withColumns({"pair_id": pair_name(key, 0), "label": F.lit(0)})
 
 
 def build_pairs(
     clean: DataFrame, key: str = "doc_id", seed: int = SEED, avoid_self: bool = False
 ) -> DataFrame:
-    """Matched and mismatched pairs together, duplicates kept."""
-    return positive_pairs(clean, key).unionByName(negative_pairs(clean, key, seed, avoid_self))
+    """Matched and mismatched pairs together, two for every row; equal texts are kept.
+
+    The drawn job description meets the row once, so a text is read, cleaned and moved once for
+    both.  A repeated or null key raises.
+    """
+    check_keys(clean.select(key), key)
+    both = clean.join(_drawn(clean, key, seed, avoid_self), key)
+    rest = [c for c in clean.columns if c != "jd_clean"]
+    made = F.array(
+        F.struct(F.col("jd_clean"), pair_name(key, 1).alias("pair_id"), F.lit(1).alias("label")),
+        F.struct(F.col("jd_drawn").alias("jd_clean"), pair_name(key, 0).alias("pair_id"),
+                 F.lit(0).alias("label")),
+    )
+    return both.select(*rest, F.inline(made))
 
 
 def pair_keys(clean: DataFrame, key: str = "doc_id") -> DataFrame:
     """Key, pair id and label of every pair that ``build_pairs`` makes, without making them."""
     made = F.array(
-        F.struct((F.col(key) * 2).alias("pair_id"), F.lit(1).alias("label")),
-        F.struct((F.col(key) * 2 + 1).alias("pair_id"), F.lit(0).alias("label")),
+        F.struct(pair_name(key, 1).alias("pair_id"), F.lit(1).alias("label")),
+        F.struct(pair_name(key, 0).alias("pair_id"), F.lit(0).alias("label")),
     )
     return clean.select(key, F.inline(made))
 

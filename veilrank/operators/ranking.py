@@ -25,12 +25,6 @@ def _check_k(k: int) -> None:
         raise ValueError("k must be at least 1")
 
 
-def top_k(scored: DataFrame, k: int, score: str = "score", text: str = "text") -> DataFrame:
-    """Best rows by score, then text, both descending."""
-    _check_k(k)
-    return scored.orderBy(F.desc(score), F.desc(text)).limit(k)
-
-
 def rank_resumes(
     resumes: DataFrame, jd_text: str, k: int = 5, key: str = "doc_id", text: str = "text"
 ) -> DataFrame:

@@ -47,14 +47,23 @@ def hash_rank(df: DataFrame, key: str, seed: int, output: str) -> DataFrame:
 
 
 def grouped_rank(df: DataFrame, group: str, key: str, seed: int, output: str) -> DataFrame:
-    """Add the row's rank (from 1) in the order of ``group``, then of the hash.
+    """Add the row's rank (from 1) in the hash order of ``group``, then of the key.
 
-    A group may hold most of the rows: it is split by hash like everything else.
+    A group may hold most of the rows: it is split by hash like everything else.  The groups
+    themselves are ordered by hash buckets, so there may be as many of them as rows.
     """
     keyed = _keyed(df, key, seed)
     counts = keyed.groupBy(group, _BUCKET).agg(F.count(F.lit(1)).alias("_n"))
     sizes = counts.groupBy(group).agg(F.sum("_n").alias("_n"))
-    starts = sizes.select(group, _rows_before(Window.orderBy(group)).alias("_start"))
+    placed = _keyed(sizes, group, seed)
+    whole = placed.groupBy(_BUCKET).agg(F.sum("_n").alias("_n"))
+    first = whole.select(_BUCKET, _rows_before(Window.orderBy(_BUCKET)).alias("_first"))
+    earlier = _rows_before(Window.partitionBy(_BUCKET).orderBy(_HASH, group))
+    starts = (
+        placed.withColumn("_earlier", earlier)
+        .join(F.broadcast(first), _BUCKET)  # at most 65,536 rows
+        .select(group, (F.col("_first") + F.col("_earlier")).alias("_start"))
+    )
     within = counts.withColumn(
         "_before", _rows_before(Window.partitionBy(group).orderBy(_BUCKET))
     ).drop("_n")

@@ -8,7 +8,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from veilrank.catalog import select_rules
+from veilrank.catalog import select_rules, select_types
 from veilrank.functions.matching import replace_rule
 from veilrank.functions.text import is_blank
 
@@ -18,8 +18,14 @@ def redact_column(
 ) -> Column:
     """Apply the rules of the chosen types one after the other, each to the changed text.
 
-    Null and blank text holds nothing a rule could match and comes through unchanged.
+    Null and blank text holds nothing a rule could match and comes through unchanged.  A chosen
+    type that no rule can find raises: field-only types are masked by spans.
     """
+    if types is not None:
+        types = set(types) if not isinstance(types, str) else types
+        bare = sorted(set(select_types(types)) - {r.entity_type for r in select_rules(types)})
+        if bare:
+            raise ValueError(f"no rule redacts {', '.join(bare)}; use the spans")
     return reduce(replace_rule, select_rules(types, order), text)
 
 

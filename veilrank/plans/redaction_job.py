@@ -8,8 +8,9 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from veilrank.catalog import SCORE_THRESHOLD
 from veilrank.functions.text import resume_id
-from veilrank.operators.content import choose_content
+from veilrank.operators.content import choose_content, discover_content_columns
 from veilrank.operators.entities import (
     all_spans,
     entities_by_resume,
@@ -21,7 +22,7 @@ from veilrank.operators.entities import (
 from veilrank.operators.ranks import sample_n
 from veilrank.operators.redact import redact_column, text_status
 from veilrank.operators.statistics import entity_counts, entity_total, pii_coverage
-from veilrank.session import materialize
+from veilrank.session import remove, scratch_path
 from veilrank.sources.writers import write_entities_json, write_redacted
 
 
@@ -32,19 +33,26 @@ class RedactionReport:
     coverage: DataFrame
     total: DataFrame
     counts: DataFrame
+    path: str
+
+    def close(self) -> None:
+        """Delete the job's own table; the report's tables cannot be read afterwards."""
+        remove(self.redacted.sparkSession, self.path)
 
 
 def redaction_table(
     df: DataFrame,
     content: str,
     types: Iterable[str] | None = None,
-    method: str = "rules",
+    method: str = "spans",
     keep_raw: bool = False,
+    threshold: float = SCORE_THRESHOLD,
 ) -> DataFrame:
     """Redacted text, status, résumé id and entities in one projection over the content.
 
-    ``method`` is ``rules`` (rule after rule) or ``spans`` (detect, merge, mask); the spans
-    give the entities too, with those of the field extractors, from the same search.
+    ``method`` is ``spans`` (detect, merge, mask) or ``rules`` (rule after rule); the spans
+    give the entities too, with those of the field extractors, from the same search, and so
+    redact every type.  ``threshold`` is the least score of a span.
     """
     text = F.col(content)
     if method == "rules":
@@ -57,7 +65,7 @@ def redaction_table(
     elif method == "spans":
         spans = F.col("_spans")
         made = (
-            df.withColumn("_spans", all_spans(text, types))
+            df.withColumn("_spans", all_spans(text, types, threshold))
             .withColumns(
                 {
                     "anonymized_content": mask_spans(text, resolve_overlaps(spans)),
@@ -85,22 +93,26 @@ def run_redaction(
     types: Iterable[str] | None = None,
     sample_size: int | None = None,
     content_column: str | None = "content",
-    method: str = "rules",
+    method: str = "spans",
     keep_raw: bool = False,
     format: str = "csv",
+    threshold: float = SCORE_THRESHOLD,
 ) -> RedactionReport:
     """Write the redacted table and the entity JSON; return them with the statistics.
 
     The projection is written to the shared folder once; the two sinks and the statistics read
-    that table, so no text is searched twice.  Without ``keep_raw`` the columns the content was
-    made from are dropped, not only their combination.
+    that table, so no text is searched twice.  The redacted table has all columns of the input
+    but, without ``keep_raw``, those that the content was made from.  The table in the shared
+    folder holds the entities' texts: ``close()`` of the report deletes it.
     """
     table = df if sample_size is None else sample_n(df, sample_size, key)
-    table, content = choose_content(table, content_column)
-    made = redaction_table(table, content, types, method, keep_raw)
-    if not keep_raw:
-        made = made.select(key, "anonymized_content", "status", "resume_id", "entities")
-    made = materialize(made, "redaction")
+    table, content = choose_content(table, content_column, key=key)
+    made = redaction_table(table, content, types, method, keep_raw, threshold)
+    if not keep_raw and content not in df.columns:
+        made = made.drop(*discover_content_columns(df, key))
+    path = scratch_path(df.sparkSession, "redaction")
+    made.write.parquet(path)
+    made = df.sparkSession.read.schema(made.schema).parquet(path)
 
     write_redacted(made.drop("status", "resume_id", "entities"), output, format)
     latest = entities_by_resume(made, key, "resume_id", "entities")
@@ -111,4 +123,5 @@ def run_redaction(
         coverage=pii_coverage(made, "resume_id"),
         total=entity_total(latest),
         counts=entity_counts(latest),
+        path=path,
     )

@@ -6,6 +6,7 @@ import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 _CHECKPOINT_DIR = "spark.checkpoint.dir"
 
@@ -36,13 +37,34 @@ def materialize(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def remove(spark: SparkSession, *paths: str) -> None:
+    """Delete folders that this library wrote, wherever they are."""
+    jvm = spark._jvm
+    for path in paths:
+        folder = jvm.org.apache.hadoop.fs.Path(path)
+        folder.getFileSystem(spark._jsc.hadoopConfiguration()).delete(folder, True)
+
+
+def with_row_key(df: DataFrame, key: str, path: str) -> DataFrame:
+    """The table with a unique key, written to ``path`` once and read from there.
+
+    Keys are numbered by partition and row, so they are unique also among equal rows.  The
+    written table is what makes them repeatable: read it again instead of making them anew.
+    """
+    df.withColumn(key, F.monotonically_increasing_id()).write.parquet(path)
+    return df.sparkSession.read.parquet(path)
+
+
 def spread(df: DataFrame, *keys: str) -> DataFrame:
-    """Spread few input files over the cores before costly text work.
+    """Spread a small input over the cores before costly text work.
 
-    One file of one row group is one task.  With at least as many files as cores the scan is
-    parallel already and the rows stay where they are.
+    The bytes that the plan expects to read tell how many splits a scan has; from one split for
+    every core on, rows stay where they are, however few files they are in.
     """
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    if len(df.inputFiles()) >= cores:
-        return df
-    return df.repartition(cores, *keys)
+    spark = df.sparkSession
+    cores = spark.sparkContext.defaultParallelism
+    size = int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
+    split = spark._jvm.org.apache.spark.network.util.JavaUtils.byteStringAsBytes(
+        spark.conf.get("spark.sql.files.maxPartitionBytes")
+    )
+    return df if size >= cores * split else df.repartition(cores, *keys)

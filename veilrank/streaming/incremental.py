@@ -5,13 +5,11 @@ from __future__ import annotations
 from collections.abc import Iterable
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 from pyspark.sql.types import StructType
 
-from veilrank.functions.text import resume_id
-from veilrank.operators.entities import entity_map
-from veilrank.operators.redact import redact_column
+from veilrank.catalog import SCORE_THRESHOLD
+from veilrank.plans.redaction_job import redaction_table
 
 
 def stream_parquet(
@@ -35,21 +33,19 @@ def incremental_redact(
     text: str = "text",
     types: Iterable[str] | None = None,
     partitions: int | None = None,
+    threshold: float = SCORE_THRESHOLD,
 ) -> StreamingQuery:
     """Redact what has arrived since the last run and append it to a Parquet table.
 
-    Each batch holds the redacted text and the entities found in it.  Stateless: the file sink
+    Each batch holds the redacted text and the entities found in it, by spans, so that no chosen
+    type stays in the text.  Stateless: the file sink
     and the checkpoint make a restart add nothing twice, and memory depends on a batch only.
     ``partitions`` spreads the rows of a batch where few files arrive at a time.
     """
     if partitions:
         docs = docs.repartition(partitions, key)
-    content = F.col(text)
-    redacted = docs.select(
-        key,
-        redact_column(content, types).alias("anonymized_content"),
-        resume_id(content).alias("resume_id"),
-        entity_map(content, types).alias("entities"),
+    redacted = redaction_table(docs.select(key, text), text, types, threshold=threshold).select(
+        key, "anonymized_content", "resume_id", "entities"
     )
     return (
         redacted.writeStream.format("parquet")
