@@ -97,6 +97,29 @@ def _starts(sorted_: np.ndarray) -> np.ndarray:
     return np.flatnonzero(np.append(True, sorted_[1:] != sorted_[:-1]))
 
 
+def _lengths(starts: np.ndarray, n: int) -> np.ndarray:
+    return np.diff(np.append(starts, n))
+
+
+def _row_sums(table: np.ndarray, own: np.ndarray, starts: np.ndarray) -> np.ndarray:
+    """Sums of the table's rows ``own`` over the short runs that begin at ``starts``.
+
+    Runs are taken longest first, so the k-th rows of all runs that have one add to a leading slice.
+    """
+    if not len(starts):
+        return np.zeros((0, table.shape[1]), table.dtype)
+    n = _lengths(starts, len(own))
+    order = np.argsort(-n, kind="stable")
+    first, left = starts[order], -n[order]
+    out = table[own[first]]
+    for k in range(1, -int(left[0])):
+        some = int(np.searchsorted(left, -k))
+        out[:some] += table[own[first[:some] + k]]
+    back = np.empty_like(order)
+    back[order] = np.arange(len(order))
+    return out[back]
+
+
 def term_counts(coded: DataFrame, terms: int) -> np.ndarray:
     """For each term the passages that hold it and the sum of its squared counts; last: all passages."""
 
@@ -129,11 +152,12 @@ def gram_product(coded: DataFrame, column: np.ndarray, scale: np.ndarray, b: np.
                     continue
                 own, place = own[some], _places(sizes, 2 * HALF)[some]
                 starts = _starts(place)
-                sums = np.add.reduceat(scaled[own], starts, axis=0)
-                passage = np.repeat(np.arange(len(starts)), np.diff(np.append(starts, len(own))))
+                sums = _row_sums(scaled, own, starts)
+                passage = np.repeat(np.arange(len(starts)), _lengths(starts, len(own)))
                 order = np.argsort(own, kind="stable")
                 firsts = _starts(own[order])
-                total[own[order][firsts]] += np.add.reduceat(sums[passage[order]], firsts, axis=0)
+                for i, at in zip(firsts, np.split(order, firsts[1:])):  # one round for each term
+                    total[own[order[i]]] += sums[passage[at]].sum(0)
         yield sum_rows(np.rint(total * scale[:, None] * _FIX).astype(np.int64), _BLOCK)
 
     return collect_sums(coded.select("ids").mapInArrow(run, SUMS), b.shape, _BLOCK) / _FIX
@@ -218,9 +242,10 @@ def _search(coded: DataFrame, items: list[Item], column, idf, basis) -> DataFram
             w = windows[at : at + 4096]
             use = np.unique(np.concatenate([half[w], half[np.where(double[w], w + 1, total)]]))
             use = use[use < len(starts)]
-            ends = np.append(starts, len(some))
-            tokens = np.concatenate([np.arange(ends[u], ends[u + 1]) for u in use])
-            sums = np.add.reduceat(latent[own[some[tokens]]], np.cumsum(np.append(0, np.diff(ends)[use][:-1])), axis=0)
+            lengths = _lengths(starts, len(some))[use]
+            begin = np.cumsum(lengths) - lengths
+            tokens = np.arange(int(lengths.sum())) + np.repeat(starts[use] - begin, lengths)
+            sums = _row_sums(latent, own[some[tokens]], begin)
             back = np.full(len(starts) + 1, len(use))
             back[use] = np.arange(len(use))
             sums = np.vstack([sums, np.zeros((1, sums.shape[1]), np.float32)])
