@@ -7,8 +7,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from veilrank.llm import (
-    bpe, decontaminate, language, quality, secret_scan, sharding, simhash, token_counts, warc,
-    weighted_sampling,
+    bpe, centroids, decontaminate, filter_audit, language, mixing, quality, secret_scan, sharding, simhash,
+    token_counts, warc, weighted_sampling,
 )
 from veilrank.session import scratch_path
 
@@ -94,6 +94,19 @@ def op10_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.near_duplicates(table(spark, sf_dir, "documents"), shingle=3, distance=3)
 
 
+def op11_centroids(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return centroids.with_inertia(*centroids.cluster(table(spark, sf_dir, "embeddings")))
+
+
+def op12_filter_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return filter_audit.audit_documents(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
+def op13_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    mixed = mixing.mix(table(spark, sf_dir, "documents"))
+    return mixed.select("doc_id", "size", "source_size", "target", "taken")
+
+
 QUERIES = {
     "op1_warc": op1_warc,
     "op2_quality": op2_quality,
@@ -105,4 +118,7 @@ QUERIES = {
     "op8_token_counts": op8_token_counts,
     "op9_language": op9_language,
     "op10_simhash": op10_simhash,
+    "op11_centroids": op11_centroids,
+    "op12_filter_audit": op12_filter_audit,
+    "op13_mixing": op13_mixing,
 }
