@@ -22,7 +22,7 @@ from pyspark.sql import functions as F
 from veilrank.session import materialize
 
 PIECE = 1024  # words
-BUCKET_ROWS = 100_000
+BUCKET_ROWS = 25_000
 WEIGHTS = (5, 2, 1)
 SHARE = (3, 2)  # of all words that the mix holds, as a fraction
 EPOCHS = 2
@@ -124,7 +124,7 @@ def schedule(docs: DataFrame, key: str = "doc_id") -> DataFrame:
     # An empty piece changes nothing wherever it stands, so it need not stand with all others.
     stretch = F.when(some, F.floor(F.col("finish") * stretches)).otherwise(F.pmod("place", F.lit(stretches)))
     pieces = pieces.withColumn("finish", finish).withColumn("stretch", stretch)
-    # One row for each stretch, some hundred thousand times fewer than pieces.
+    # One row for each stretch, some ten thousand times fewer than pieces.
     in_turn = Window.orderBy("stretch").rowsBetween(Window.unboundedPreceding, -1)
     turns = pieces.groupBy("stretch").agg(F.sum("words").alias("own")).select(
         "stretch", F.coalesce(F.sum("own").over(in_turn), F.lit(0)).alias("served")
