@@ -210,3 +210,56 @@ def test_large_splittable_inputs_stay_where_they_are(spark, tmp_path):
         assert spread(df, "id") is df
     finally:
         spark.conf.set("spark.sql.files.maxPartitionBytes", before)
+
+
+@pytest.mark.parametrize("options", [{}, {"seed_rows": 1}, {"seed_rows": 10**9}, {"broadcast_bytes": 0, "salts": 2}])
+def test_pruned_ranking_of_skewed_words_equals_brute_force(spark, options):
+    """Words from very rare to very common, so that bounds cut most of the pairs."""
+    rng = np.random.default_rng(17)
+    vocabulary = [f"w{i}" for i in range(60)]
+    often = 1 / np.arange(1, 61)
+    often /= often.sum()
+    draw = lambda n: " ".join(rng.choice(vocabulary, n, p=often))
+    docs = [(i, "all " + draw(int(rng.integers(1, 40)))) for i in range(250)]
+    jds = [(i, draw(int(rng.integers(1, 30))) + (" all" if i % 2 else "")) for i in range(15)]
+    jds += [(50, "all"), (51, docs[3][1]), (52, docs[4][1] + " nowhere"), (53, "nowhere all")]
+    got = ranking.rank_resumes_per_jd(
+        spark.createDataFrame(jds, "item_id long, text string"),
+        spark.createDataFrame(docs, "doc_id long, text string"), k=4, **options,
+    ).collect()
+    assert {(r.item_id, r.doc_id, round(r.score, 9), r["rank"]) for r in got} == brute_force(jds, docs, 4)
+
+
+def test_common_words_make_no_pairs(spark, monkeypatch):
+    rows = []
+    meet = ranking._meet
+
+    def counted(left, words, word, key, small, salts):
+        out = meet(left, words, word, key, small, salts)
+        rows.append(out.count())
+        return out
+
+    monkeypatch.setattr(ranking, "_meet", counted)
+    docs = [(i, f"all most{'' if i % 9 else ' rare'} u{i}" if i % 50 else "all rare u1 u2 u3") for i in range(400)]
+    jds = [(1, "all most rare u1 u2 u3")]
+    ranking.rank_resumes_per_jd(
+        spark.createDataFrame(jds, "item_id long, text string"),
+        spark.createDataFrame(docs, "doc_id long, text string"), k=5, seed_rows=60,
+    ).collect()
+    listed, *joined = rows
+    assert listed > 700  # every word of a job description, once for each résumé
+    assert max(joined) < 100  # neither the word that all hold nor the one that most hold
+
+
+def test_merged_rankings_equal_a_full_run(spark):
+    rng = np.random.default_rng(23)
+    docs = [(i, " ".join(rng.choice([f"w{j}" for j in range(30)], 8))) for i in range(90)]
+    jds = spark.createDataFrame([(i, " ".join(f"w{j}" for j in range(i, i + 9))) for i in range(5)], "item_id long, text string")
+    frame = lambda rows: spark.createDataFrame(rows, "doc_id long, text string")
+    told = lambda df: sorted((r.item_id, r["rank"], r.doc_id, round(r.score, 9)) for r in df.collect())
+    stored = None
+    for start in range(0, 90, 30):
+        arrived = ranking.rank_resumes_per_jd(jds, frame(docs[start : start + 30]), k=6)
+        stored = arrived if stored is None else materialize(ranking.merge_rankings(stored, arrived, 6), "ranking")
+    assert told(stored) == told(ranking.rank_resumes_per_jd(jds, frame(docs), k=6))
+    assert told(ranking.merge_rankings(stored, stored, 6)) == told(stored)  # the same part twice
