@@ -62,7 +62,7 @@ RULES = [
     ("addr_label", "ADDRESS", r"\1<ADDRESS>", 0.7,
      r"((?:Address|Location)\s*[:：]\s*)([^\n]+)", 2, False),
     ("addr_unit", "ADDRESS", "<ADDRESS>", 0.7,
-     r"\b\d+/[A-Za-z0-9],?\s+[A-Za-z0-9\s,]+,\s+[A-Za-z\s]+,\s+[A-Za-z\s]+\b",
+     r"\b\d+/[A-Za-z0-9],?\s+[A-Za-z0-9\s,]+,\s+[A-Za-z\s]+,\s+[A-Za-z][A-Za-z \t]*\b",
      0, True),
     ("addr_street", "ADDRESS", "<ADDRESS>", 0.7,
      r"\b\d+\s+[A-Za-z0-9\s,]+(?:Street|Avenue|Road|Blvd|Drive|Lane|Place|Way|Apt|Suite"

@@ -1,6 +1,7 @@
 """Every rule and field on hand-written lines."""
 
 import re
+import time
 
 import pytest
 import regex
@@ -155,3 +156,36 @@ def test_selection():
     assert sorted(places) == list(range(1, 38))
     first = catalog.select_rules(order="names_first")[0]
     assert first.rule_id == "name_two"
+
+
+LONG = 1_000_000
+HARD = {
+    "blanks": "ref 1/2 a," + " " * (LONG // 2) + "," + " " * (LONG // 2) + ".",
+    "commas": "1/2 a" + " ," * (LONG // 2) + ".",
+    "lines": "5 Phone Gender Company DOB Photo" + "\n" * LONG + "St",
+    "dots": "a." * (LONG // 2) + "@",
+}
+
+
+@pytest.mark.parametrize("name", sorted(HARD))
+def test_no_rule_takes_more_than_linear_time(spark, name):
+    rules = [*catalog.RULES, *catalog.FIELDS]
+    texts = spark.createDataFrame([(HARD[name],)], "text string").cache()
+    texts.count()
+    for r in rules:
+        started = time.perf_counter()
+        texts.select(F.length(F.regexp_replace("text", "(?U)" + (f"(?={r.head})" if getattr(r, "head", None) else "") + r.pattern, "x"))).collect()
+        assert time.perf_counter() - started < 2, r
+
+
+def test_addresses_of_units_end_with_their_line(each):
+    """Prose with a fraction is still taken for an address, but no further than its line."""
+    prose = "Paid 3/4 of it then left the firm, moved to the coast, and wrote a long book\nSecond line here"
+    (got,) = each(redact_column(F.col("text"), ["ADDRESS"]), prose)
+    assert got == "Paid <ADDRESS>\nSecond line here"
+
+
+def test_numbers_before_a_street_begin_it(each):
+    lines = ["a1 5 Main Street", "9 8 7 Oak Road, 4 Elm St x", "12  Lane", "5 Street"]
+    got = each(redact_column(F.col("text"), ["ADDRESS"]), *lines)
+    assert got == ["a1 <ADDRESS>", "<ADDRESS> x", "<ADDRESS>", "5 Street"]

@@ -70,7 +70,9 @@ _MONTH = (
 )
 _MON = "(?:Jan|Feb|Mar|Apr|May|Jun|Jul|Aug|Sep|Oct|Nov|Dec)"
 _ORG = "(?:University|College|Institute|School)"
-_BIRTH = r"((?:Date\s+of\s+Birth|DOB|Birth\s+Date)\s*[:(]?\s*)"
+# Blanks on either side of an optional sign belong to the sign: two runs of blanks next to each other could
+# share them in any way, and a search would try them all.
+_BIRTH = r"((?:Date\s+of\s+Birth|DOB|Birth\s+Date)\s*(?:[:(]\s*)?)"
 
 
 @dataclass(frozen=True)
@@ -98,7 +100,8 @@ class Rule:
 # Specific rules first, names last, so a label such as "Marital Status" is not taken for a name.
 RULES = (
     Rule("email", "EMAIL_ADDRESS", "<EMAIL>", 0.9,
-         r"\b[A-Za-z0-9._%+-]+@[A-Za-z0-9.-]+\.[A-Za-z]{2,}\b",
+         # The look-behind skips starts inside a run, which end where the run's first start does.
+         r"\b(?<![A-Za-z0-9_][.%+-]{0,8})[A-Za-z0-9._%+-]+@[A-Za-z0-9.-]+\.[A-Za-z]{2,}\b",
          needs=("@",), names_first=5),
     Rule("linkedin", "SOCIAL_MEDIA", "<LINKEDIN>", 0.85,
          r"linkedin\.com/in/[A-Za-z0-9_-]+",
@@ -128,7 +131,7 @@ RULES = (
          r"\((?:M|F|Male|Female|男|女)\)",
          needs=("(",), names_first=16),
     Rule("gender_dash", "GENDER", "$1<GENDER>", 0.85,
-         r"(Gender\s*[:-]?\s*)(Male|Female|M|F|男|女)",
+         r"(Gender\s*(?:[:-]\s*)?)(Male|Female|M|F|男|女)",
          value=2, needs=("Gender",), names_first=17),
     Rule("marital", "MARITAL_STATUS", "$1<MARITAL_STATUS>", 0.85,
          r"((?:Marital|Marriage)\s+Status\s*[:：]\s*)([^\n,]+)",
@@ -143,10 +146,14 @@ RULES = (
          r"((?:Address|Location)\s*[:：]\s*)([^\n]+)",
          value=2, needs=("Address", "Location"), head="[AL]", names_first=20),
     Rule("addr_unit", "ADDRESS", "<ADDRESS>", 0.7,
-         r"\b\d+/[A-Za-z0-9],?\s+[A-Za-z0-9\s,]+,\s+[A-Za-z\s]+,\s+[A-Za-z\s]+\b",
+         # One blank where a class that holds blanks follows, which matches the same in linear time; the
+         # last part ends with its line.
+         r"\b\d+/[A-Za-z0-9],?\s[A-Za-z0-9\s,]+,\s[A-Za-z\s]+,\s+[A-Za-z][A-Za-z \t]*\b",
          needs=("/",), head=r"\d", names_first=21),
     Rule("addr_street", "ADDRESS", "<ADDRESS>", 0.7,
-         r"\b\d+\s+[A-Za-z0-9\s,]+"
+         # A number shortly behind another one that could begin the address need not be tried: what follows
+         # it is what follows that one.
+         r"\b(?<!\b\d{1,9}\s[A-Za-z0-9\s,]{0,30})\d+\s[A-Za-z0-9\s,]+"
          r"(?:Street|Avenue|Road|Blvd|Drive|Lane|Place|Way|Apt|Suite|St|Rd|Dr|Ave)\b",
          needs=("St", "Ave", "Road", "Blvd", "Dr", "Lane", "Place", "Way", "Apt", "Suite", "Rd"),
          head=r"\d", names_first=19),
@@ -175,7 +182,7 @@ RULES = (
          r"\b(?:\+\d{1,3}[-.\s]?)?(?:\(?\d{3}\)?[-.\s]?){1,2}\d{3,4}[-.\s]?\d{3,4}\b",
          head=r"[+(\d]", names_first=6),
     Rule("phone_label", "PHONE_NUMBER", "$1<PHONE>", 0.85,
-         r"((?:Phone|Tel|Mobile|Contact)\s*(?:Number|No|#|:)?\s*[:：]?\s*)"
+         r"((?:Phone|Tel|Mobile|Contact)\s*(?:(?:Number|No|#|:)\s*)?(?:[:：]\s*)?)"
          r"(\+?[\d(][\d \t().-]{5,}[\d)])",
          value=2, needs=("Phone", "Tel", "Mobile", "Contact"), head="[CMPT]", names_first=7),
     Rule("worked_at", "COMPANY_NAME", "$1<COMPANY>", 0.7,
@@ -186,7 +193,7 @@ RULES = (
          r"([Ee]mployer\s*[:：]\s*)([^\n,]+)",
          value=2, needs=("mployer",), names_first=30),
     Rule("company", "COMPANY_NAME", "$1<COMPANY>", 0.7,
-         r"([Cc]ompany(?:\s+[Nn]ame)?\s*[-:：]?\s*)([^\n,]+)",
+         r"([Cc]ompany(?:\s+[Nn]ame)?\s*(?:[-:：]\s*)?)([^\n,]+)",
          value=2, needs=("ompany",), names_first=29),
     Rule("school_of", "SCHOOL_NAME", "$1<SCHOOL>", 0.7,
          "(" + _ORG + r"\s+of\s+)([^\n,]+)",
@@ -241,7 +248,7 @@ FIELDS = (
           ((2, "MARITAL_STATUS"),), 0.85, ("Marital",)),
     Field("nationality", r"(Nationality\s*[:：]\s*)([^\n,]+)",
           ((2, "NATIONALITY"),), 0.85, ("Nationality",)),
-    Field("photo", r"((?:Photo|Picture|Image)\s*[:：]?\s*)([^\n]+\.(?:jpg|jpeg|png|gif))",
+    Field("photo", r"((?:Photo|Picture|Image)\s*(?:[:：]\s*)?)(\S[^\n]*\.(?:jpg|jpeg|png|gif))",
           ((2, "PHOTO_REFERENCES"),), 0.8, ("Photo", "Picture", "Image")),
 )
 

@@ -13,9 +13,10 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 from veilrank.catalog import Field, Rule
+from veilrank.functions.arrays import let, running_totals
 
 UNICODE = "(?U)"
-_CUT, _ASIDE = "\ue000", "\ue001"  # private-use characters: of no class a rule names
+_MARK, _ASIDE = "\ue000", "\ue001"  # private-use characters: of no class a rule names
 SPAN_TYPE = (
     "struct<start:int,end:int,score:double,entity_type:string,text:string,rule_id:string>"
 )
@@ -66,68 +67,63 @@ def rule_texts(text: Column, rule: Rule) -> Column:
     return _where_possible(text, rule.needs, found, "array<string>")
 
 
-def _rule_hits(text: Column, rule: Rule) -> Column:
-    """What one rule finds: the texts around the matches, the matches, and their values.
+def _marked(rule: Rule) -> str:
+    """A replacement that keeps the match and puts a mark on either side of its value.
 
-    Null where the rule finds nothing, which is decided first and is all the work then.
-    ``whole`` stays empty for a rule whose value is the whole match.  The gaps serve for their
-    lengths only, so a private-use character of the text may stand aside for the cut mark.
+    The groups of a rule make up its match, so those beside the value stay where they are.
     """
-    pattern = spark_pattern(rule)
-    cut = F.regexp_replace(F.translate(text, _CUT, _ASIDE), pattern, _CUT)
-
-    def groups(group: int) -> Column:
-        return F.regexp_extract_all(text, F.lit(pattern), F.lit(group))
-
-    hits = F.struct(
-        F.lit(rule.rule_id).alias("rule_id"),
-        F.lit(rule.entity_type).alias("entity_type"),
-        F.lit(float(rule.score)).alias("score"),
-        F.lit(rule.value == 1).alias("leads"),
-        F.split(cut, _CUT, -1).alias("gaps"),
-        (groups(0) if rule.value else F.array().cast("array<string>")).alias("whole"),
-        groups(rule.value).alias("value"),
-    )
-    found = text.rlike(pattern)
-    return F.when(contains_any(text, rule.needs) & found if rule.needs else found, hits)
+    value = f"{_MARK}${rule.value}{_MARK}"
+    return {0: value, 1: value + "$2", 2: "$1" + value}[rule.value]
 
 
 def rule_spans(text: Column, rules: Sequence[Rule]) -> Column:
     """All values the rules find with 0-based, end-exclusive offsets: ``array<SPAN_TYPE>``.
 
-    The gaps between the matches of a rule and the matches add up to the text, so running
-    lengths give the offsets.
+    A rule searches the text once: its matches come back with marks around their values, and cutting
+    at the marks leaves gaps and values in turn, whose running lengths are the offsets.  Where the
+    text holds the mark itself, another character stands in for it and values are read from the text.
     """
     nothing = F.array().cast(f"array<{SPAN_TYPE}>")
-
-    def spans_of(rule: Column) -> Column:
-        def add(acc: Column, hit: Column) -> Column:
-            begin = acc["at"] + F.length(hit["gaps"])
-            stop = begin + F.length(F.coalesce(hit["whole"], hit["value"]))
-            size = F.length(hit["value"])
-            first = F.when(rule["leads"], begin).otherwise(stop - size)
-            span = F.struct(
-                first.alias("start"),
-                (first + size).alias("end"),
+    foreign = text.contains(_MARK)
+    plain = F.when(foreign, F.translate(text, _MARK, _ASIDE)).otherwise(text)
+
+    def hits(clean: Column, rule: Rule) -> Column:
+        def cut_up(marked: Column) -> Column:
+            return F.when(marked.contains(_MARK), F.struct(
+                F.lit(rule.rule_id).alias("rule_id"),
+                F.lit(rule.entity_type).alias("entity_type"),
+                F.lit(float(rule.score)).alias("score"),
+                F.split(marked, _MARK, -1).alias("pieces"),
+            ))
+
+        marked = F.regexp_replace(clean, spark_pattern(rule), _marked(rule))
+        found = let(marked, cut_up)
+        return F.when(contains_any(clean, rule.needs), found) if rule.needs else found
+
+    def spans_of(rule: Column, foreign: Column) -> Column:
+        sizes = F.transform(rule["pieces"], F.length)
+        at = F.sequence(F.lit(1), F.size(rule["pieces"]) - 2, F.lit(2))
+
+        def span(starts: Column, i: Column) -> Column:
+            start, value = F.get(starts, i), F.get(rule["pieces"], i)
+            own = F.when(foreign, F.substring(text, start + 1, F.length(value))).otherwise(value)
+            return F.struct(
+                start.alias("start"),
+                (start + F.length(value)).alias("end"),
                 rule["score"].alias("score"),
                 rule["entity_type"].alias("entity_type"),
-                hit["value"].alias("text"),
+                own.alias("text"),
                 rule["rule_id"].alias("rule_id"),
             )
-            return F.struct(
-                stop.alias("at"), F.concat(acc["spans"], F.array(span)).alias("spans")
-            )
 
-        # The gap after the last match has no match next to it.
-        hits = F.filter(
-            F.arrays_zip(rule["gaps"], rule["whole"], rule["value"]),
-            lambda hit: hit["value"].isNotNull(),
-        )
-        start = F.struct(F.lit(0).alias("at"), nothing.alias("spans"))
-        return F.aggregate(hits, start, add, lambda acc: acc["spans"])
+        return let(running_totals(sizes), lambda starts: F.transform(at, lambda i: span(starts, i)))
+
+    def all_of(read: Column) -> Column:
+        found = F.array_compact(F.array(*[hits(read["clean"], r) for r in rules]))
+        return F.flatten(F.transform(found, lambda rule: spans_of(rule, read["foreign"])))
 
-    found = F.array_compact(F.array(*[_rule_hits(text, r) for r in rules]))
-    return F.flatten(F.transform(found, spans_of))
+    read = F.struct(plain.alias("clean"), foreign.alias("foreign"))
+    return F.coalesce(let(read, all_of), nothing)
 
 
 def field_spans(text: Column, field: Field, types: set[str]) -> Column:

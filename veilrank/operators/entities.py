@@ -21,6 +21,7 @@ from veilrank.catalog import (
     select_rules,
     select_types,
 )
+from veilrank.functions.arrays import cut, fold_out, let, text_blocks
 from veilrank.functions.matching import SPAN_TYPE, field_spans, rule_spans, rule_texts
 
 _ISLAND = (
@@ -134,40 +135,35 @@ def resolve_overlaps(spans: Column) -> Column:
     then longest, then last type name.
     """
 
-    def add(acc: Column, span: Column) -> Column:
+    def add(island: Column, span: Column) -> tuple[Column, Column]:
         label = F.struct(
             span["score"].alias("score"),
             (span["end"] - span["start"]).alias("width"),
             span["entity_type"].alias("entity_type"),
         )
-        fresh = acc["open"].isNull() | (span["start"] >= acc["open"]["end"])
-        done = F.when(
-            acc["open"].isNotNull() & fresh, F.concat(acc["done"], F.array(acc["open"]))
-        ).otherwise(acc["done"])
-        island = F.when(
+        fresh = island.isNull() | (span["start"] >= island["end"])
+        following = F.when(
             fresh,
             F.struct(span["start"].alias("start"), span["end"].alias("end"), label.alias("label")),
         ).otherwise(
             F.struct(
-                acc["open"]["start"].alias("start"),
-                F.greatest(acc["open"]["end"], span["end"]).alias("end"),
-                F.greatest(acc["open"]["label"], label).alias("label"),
+                island["start"].alias("start"),
+                F.greatest(island["end"], span["end"]).alias("end"),
+                F.greatest(island["label"], label).alias("label"),
             )
         )
-        return F.struct(done.alias("done"), island.alias("open"))
+        done = F.when(island.isNotNull() & fresh, F.array(island)).otherwise(
+            F.array().cast(f"array<{_ISLAND}>")
+        )
+        return following, done
 
-    start = F.struct(
-        F.array().cast(f"array<{_ISLAND}>").alias("done"),
-        F.lit(None).cast(_ISLAND).alias("open"),
-    )
-    return F.aggregate(
-        F.array_sort(spans),
-        start,
-        add,
-        lambda acc: F.when(acc["open"].isNull(), acc["done"]).otherwise(
-            F.concat(acc["done"], F.array(acc["open"]))
+    nothing = F.lit(None).cast(_ISLAND)
+    return let(F.array_sort(spans), lambda ordered: let(
+        fold_out(ordered, nothing, add, f"array<{_ISLAND}>"),
+        lambda acc: F.when(acc["state"].isNull(), acc["out"]).otherwise(
+            F.concat(acc["out"], F.array(acc["state"]))
         ),
-    )
+    ))
 
 
 def placeholder(entity_type: Column) -> Column:
@@ -178,18 +174,19 @@ def placeholder(entity_type: Column) -> Column:
 def mask_spans(text: Column, islands: Column) -> Column:
     """Replace every island by the placeholder of its type.  Null text stays null."""
 
-    def add(acc: Column, island: Column) -> Column:
-        between = F.substring(text, acc["at"] + 1, island["start"] - acc["at"])
-        piece = F.concat(acc["out"], between, placeholder(island["label"]["entity_type"]))
-        return F.struct(island["end"].alias("at"), piece.alias("out"))
-
-    start = F.struct(F.lit(0).alias("at"), F.lit("").alias("out"))
-    return F.aggregate(
-        islands,
-        start,
-        add,
-        lambda acc: F.concat(acc["out"], F.substring(text, acc["at"] + 1, F.length(text))),
-    )
+    def around(found: Column) -> Column:
+        islands, blocks = found["islands"], found["blocks"]
+
+        def piece(island: Column, i: Column) -> Column:
+            before = F.coalesce(F.get(islands, i - 1)["end"], F.lit(0))
+            between = cut(blocks, before, island["start"])
+            return F.concat(between, placeholder(island["label"]["entity_type"]))
+
+        rest = cut(blocks, F.get(islands, F.size(islands) - 1)["end"], F.char_length(text))
+        masked = F.concat(F.array_join(F.transform(islands, piece), ""), rest)
+        return F.when(F.size(islands) > 0, masked).otherwise(text)
+
+    return let(F.struct(islands.alias("islands"), text_blocks(text).alias("blocks")), around)
 
 
 def redact_by_spans(
