@@ -163,3 +163,9 @@ def test_fingerprints_of_odd_rows(odd_docs, no_docs):
     assert empty == {"f" * 512}
     assert len({r.fingerprint for r in rows if r.doc_id in (4, 5)}) == 1
     assert weighted_sampling.with_edits(no_docs).count() == 0
+
+
+def test_distance_of_zero_links_equal_fingerprints_only(spark):
+    docs = spark.createDataFrame([(1, "a b c d"), (2, "a b c d"), (3, "x y z"), (None, None)], "doc_id long, text string")
+    got = {(r.doc_id, r.component_id) for r in simhash.near_duplicates(docs, distance=0).collect()}
+    assert got == {(1, 1), (2, 1), (3, 3), (None, None)}

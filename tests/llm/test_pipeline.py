@@ -115,3 +115,36 @@ def test_stages_of_odd_and_no_rows(spark, folder, odd_docs, no_docs):
         if name in ("secret scans", "BPE encoding and decoding"):
             assert len(left) == odd_docs.count()
         assert stage(spark, no_docs, folder).count() == 0, name
+
+
+def rows_left(spark, folder, stage, rows):
+    docs = spark.createDataFrame([(i, t, "en", "s", len(t or "")) for i, t in rows], FIELDS)
+    return sorted(((r.doc_id, r.text) for r in dict(corpus_pipeline.STAGES)[stage](spark, docs, folder).collect()), key=str)
+
+
+def test_one_copy_of_null_and_repeated_ids(spark, folder):
+    texts = [prose(9000 + i, 60) for i in range(5)]
+    rows = [(1, texts[0]), (3, texts[1]), (None, texts[0]), (None, texts[2]), (None, texts[3]), (7, texts[1]), (7, texts[4])]
+    want = [(1, texts[0]), (3, texts[1]), (None, texts[2]), (None, texts[3]), (7, texts[4])]
+    assert rows_left(spark, folder, "SimHash near-dedup", rows) == sorted(want, key=str)
+    # a group without any id, rows that repeat, and texts without words
+    rows = [(None, texts[0]), (None, texts[0]), (5, texts[1]), (5, texts[1]), (None, ""), (None, None), (8, " ")]
+    assert rows_left(spark, folder, "SimHash near-dedup", rows) == sorted(
+        [(None, texts[0]), (5, texts[1]), (8, " ")], key=str)
+
+
+def test_benchmark_rows_of_null_and_repeated_ids(spark, folder):
+    held = prose(9100, 40) + " " + ITEMS[2][1]
+    clean = [prose(9101 + i, 60) for i in range(3)]
+    rows = [(None, held), (None, clean[0]), (None, None), (7, held), (7, clean[1]), (8, clean[2]), (8, clean[2])]
+    assert rows_left(spark, folder, "benchmark decontamination", rows) == sorted(
+        [(None, clean[0]), (None, None), (7, clean[1]), (8, clean[2]), (8, clean[2])], key=str)
+
+
+def test_good_rows_of_null_and_repeated_ids(spark, folder):
+    docs = documents()
+    good, bad = docs[5], docs[4]
+    rows = [*enumerate(docs), (None, good), (None, bad), (1000, good), (1000, bad), (None, good)]
+    left = rows_left(spark, folder, "quality classifier", rows)
+    assert left.count((None, good)) == 2 and left.count((1000, good)) == 1
+    assert (None, bad) not in left and (1000, bad) not in left

@@ -14,7 +14,7 @@ The benchmark is worked on in blocks of ``BLOCK_ITEMS`` items, which bounds the
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Iterator, Sequence
 from dataclasses import dataclass
 
 import numpy as np
@@ -285,8 +285,10 @@ def _search(coded: DataFrame, items: list[Item], column, idf, basis) -> DataFram
     return coded.mapInArrow(run, replaced_schema(coded.schema, new, "ids"))
 
 
-def contaminated(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
-    """``(doc_id, item_id, cosine, overlap)`` for every text of ``docs`` that holds an item.
+def contaminated(docs: DataFrame, benchmark: DataFrame, carried: Sequence[str] = ()) -> DataFrame:
+    """``(doc_id, carried, item_id, cosine, overlap)`` for every text of ``docs`` that holds an item.
+
+    ``carried`` are columns that go along, such as one that tells rows of equal or null doc_id apart.
 
     ``benchmark`` has ``item_id``, ``text`` and, if known, ``answer``; else the answer is the last quarter
     of the item's words.  Words are cut at white space and lowered.  A null or empty text or item
@@ -312,11 +314,12 @@ def contaminated(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
                 answer = words_of(r.answer) if "answer" in columns else []
                 items.append(Item(r.item_id, ids(words), ids(answer or words[-(-3 * len(words) // 4) :] or words)))
         if items:
-            coded = materialize(encode(docs.select("doc_id", "text"), vocabulary), "words")
+            coded = materialize(encode(docs.select("doc_id", *carried, "text"), vocabulary), "words")
             found = _search(coded, items, *latent_basis(coded, items, len(vocabulary)))
             held = found if held is None else held.unionByName(found)
         if len(block) < BLOCK_ITEMS:
             break
     if held is None:
-        return spark.createDataFrame([], "doc_id long, item_id long, cosine double, overlap double")
+        types = "item_id long, cosine double, overlap double"
+        return spark.createDataFrame([], replaced_schema(docs.select("doc_id", *carried).schema, types, ""))
     return held

@@ -222,7 +222,9 @@ def learn(docs: DataFrame, labels: DataFrame, rows: int = TRAIN_ROWS) -> tuple[n
 
     sample = F.broadcast(labelled_sample(labels, rows))  # bounded by ``rows``
     own = docs.select("doc_id", "text").join(sample, "doc_id")
-    taught = own.mapInArrow(run, replaced_schema(own.schema, "x binary")).collect()
+    # One row for each sampled key and label, however many rows of the table repeat the key.
+    found = own.mapInArrow(run, replaced_schema(own.schema, "x binary"))
+    taught = found.groupBy("doc_id", "quality").agg(F.min("x").alias("x")).collect()
     taught.sort(key=lambda r: (r.doc_id, r.quality, r.x))
     x = np.array([np.frombuffer(r.x, np.float32) for r in taught]).reshape(len(taught), 2 * WIDTH)
     return vectors, train(x, np.array([r.quality for r in taught], np.float64))

@@ -15,7 +15,7 @@ its pairs.  Components grow in rounds of large and small stars, each written to
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Iterator, Sequence
 
 import numpy as np
 import pyarrow as pa
@@ -152,7 +152,12 @@ def candidate_counts(nodes: DataFrame, probes: list[list[int]]) -> np.ndarray:
 
 
 def plan_masks(nodes: DataFrame, distance: int) -> list[int]:
-    """The masks to probe: the cheapest numbers of partitions and thresholds for all nodes."""
+    """The masks to probe: the cheapest numbers of partitions and thresholds for all nodes.
+
+    A partition has a threshold of -1 (not probed), 0 or 1, and there are 2 to ``distance`` + 1 partitions:
+    the thresholds add up to ``distance`` less the partitions, plus 1, which loses no link.  Larger thresholds
+    are not tried, as a partition of many bits would be probed by all pairs of its bits.
+    """
     counts = bit_counts(nodes)
     n = int(counts[-1])
     layouts = [correlated_groups(counts, m) for m in range(2, distance + 2) if distance - m + 1 <= m]
@@ -214,7 +219,7 @@ def _bucket_links(keys: np.ndarray, values: np.ndarray, distance: int):
 
 def links(nodes: DataFrame, distance: int) -> DataFrame:
     """Verified links ``(a, b)`` between different fingerprints, enough to connect every component."""
-    probes = plan_masks(nodes, distance)
+    probes = plan_masks(nodes, distance) if distance else [(1 << BITS) - 1]
     keyed = nodes.select(
         "fp",
         F.inline(F.array(*(
@@ -297,21 +302,34 @@ def components(edges: DataFrame) -> DataFrame:
         before = now
 
 
-def near_duplicates(docs: DataFrame, shingle: int = 3, distance: int = 3) -> DataFrame:
-    """``(doc_id, fingerprint, component_id)`` for each row of ``docs(doc_id, text)``.
+def grouped(
+    docs: DataFrame, shingle: int = 3, distance: int = 3, carried: Sequence[str] = ()
+) -> DataFrame:
+    """``(doc_id, carried, fp, root, component_id)`` for each row of ``docs(doc_id, text)``.
 
-    Fingerprints at most ``distance`` bits apart are linked; a component is named by the smallest
-    doc_id that can be reached.  A null text has the fingerprint of an empty one, 0.  A null doc_id
-    never names a component that has another; repeated rows are in one component.
+    ``root`` is the least fingerprint of the component and names it also where no row has a doc_id;
+    ``carried`` are columns that go along, such as one that tells rows of equal or null doc_id apart.
     """
-    prints = materialize(fingerprints(docs.select("doc_id", "text"), shingle), "fingerprints")
-    classes = prints.groupBy("fp").agg(F.min("doc_id").alias("first"))
-    roots = components(links(prints.select("fp").distinct(), distance))
+    own = docs.select("doc_id", *carried, "text")
+    prints = materialize(fingerprints(own, shingle), "fingerprints")
+    classes = materialize(prints.groupBy("fp").agg(F.min("doc_id").alias("first")), "nodes")
+    roots = components(links(classes.select("fp"), distance))
     rooted = classes.join(roots, classes.fp == roots.node, "left").select(
         "fp", "first", F.coalesce("root", "fp").alias("root")
     )
     named = rooted.groupBy("root").agg(F.min("first").alias("component_id"))
-    classes = rooted.join(named, "root").select("fp", "component_id")
-    return prints.join(classes, "fp").select(
+    classes = rooted.join(named, "root").select("fp", "root", "component_id")
+    return prints.join(classes, "fp").select("doc_id", *carried, "fp", "root", "component_id")
+
+
+def near_duplicates(docs: DataFrame, shingle: int = 3, distance: int = 3) -> DataFrame:
+    """``(doc_id, fingerprint, component_id)`` for each row of ``docs(doc_id, text)``.
+
+    Fingerprints at most ``distance`` bits apart are linked; a component is named by the smallest
+    doc_id that can be reached.  A null text has the fingerprint of an empty one, 0.  A null doc_id
+    never names a component that has another; repeated rows are in one component.  A distance of 0
+    leaves equal fingerprints together and links no others.
+    """
+    return grouped(docs, shingle, distance).select(
         "doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id"
     )
