@@ -1,14 +1,14 @@
 """The corpus pipeline over ``documents``: quality, near copies, decontamination, secrets, tokens.
 
 Every stage takes what the one before it kept.  All but the last return the columns of ``documents``;
-a stage that changes texts also mends ``n_chars``.  A null doc_id is a document like others, except
-that it cannot be told apart by joins on doc_id: no stage drops a row for it.
+a stage that changes texts also mends ``n_chars``.  A document is known by its doc_id and its text
+together, so that rows of a null or repeated doc_id are told apart by their texts.
 """
 
 from __future__ import annotations
 
 import public_tokenizers
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from veilrank.llm import bpe, decontaminate, quality, secret_scan, simhash
@@ -29,22 +29,30 @@ def keep_good(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return scored.where("predicted = 1").select(*COLUMNS)
 
 
+def row_id(doc_id: str = "doc_id", text: str = "text") -> Column:
+    """A name of a document, never null: its doc_id and the digest of its text, ``-`` for nulls."""
+    return F.concat_ws(
+        ":", F.coalesce(F.col(doc_id).cast("string"), F.lit("-")), F.coalesce(F.sha2(text, 256), F.lit("-"))
+    )
+
+
 def keep_one_copy(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Keep the document of the smallest doc_id in each group of near copies.
+    """Keep one document in each group of near copies: that of the smallest doc_id, then digest of the text.
 
-    Rows that repeat a doc_id and its text count once.
+    A null doc_id comes last.  Rows that repeat a doc_id and its text count once.
     """
-    groups = simhash.near_duplicates(docs, shingle=3, distance=3)
-    others = groups.where("doc_id <> component_id OR (doc_id IS NULL AND component_id IS NOT NULL)")
-    lone = docs.join(others.select("doc_id").distinct(), docs.doc_id.eqNullSafe(others.doc_id), "left_anti")
-    return lone.select(*COLUMNS).dropDuplicates(["doc_id", "text"])
+    named = docs.select(*COLUMNS).withColumn("row_id", row_id())
+    groups = simhash.grouped(named, shingle=3, distance=3, carried=["row_id"])
+    first = F.min(F.struct(F.col("doc_id").isNull().alias("last"), "doc_id", "row_id")).alias("first")
+    kept = groups.groupBy("root").agg(first).select("first.row_id")
+    return named.join(kept, "row_id", "left_semi").dropDuplicates(["row_id"]).select(*COLUMNS)
 
 
 def drop_benchmark(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Drop the documents that hold an item of the benchmark."""
-    found = decontaminate.contaminated(docs, table(spark, sf_dir, "benchmark"))
-    hit = found.select("doc_id").distinct()
-    return docs.join(hit, docs.doc_id.eqNullSafe(hit.doc_id), "left_anti").select(*COLUMNS)
+    """Drop the documents that hold an item of the benchmark; rows of the same doc_id without one stay."""
+    named = docs.select(*COLUMNS).withColumn("row_id", row_id())
+    found = decontaminate.contaminated(named, table(spark, sf_dir, "benchmark"), carried=["row_id"])
+    return named.join(found.select("row_id").distinct(), "row_id", "left_anti").select(*COLUMNS)
 
 
 def mask_secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
