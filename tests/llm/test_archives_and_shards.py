@@ -3,6 +3,8 @@
 import gzip
 import hashlib
 import zlib
+
+import numpy as np
 from collections import defaultdict
 
 import pytest
@@ -141,3 +143,34 @@ def test_odd_and_empty_shards(odd_docs, no_docs):
         shards[r.shard].append(r.slot)
     assert all(sorted(s) == list(range(len(s))) for s in shards.values())
     assert sharding.shard(no_docs, 3).count() == 0
+
+
+def test_shards_against_a_plain_sort(spark):
+    """Boundaries by brute force: the sorted rows' running bytes cut nearest to each shard's share."""
+    docs = spark.range(5000).select(
+        F.col("id").alias("doc_id"),
+        F.repeat(F.md5(F.col("id").cast("string")), (F.col("id") % 17 + 1).cast("int")).alias("text"),
+    )
+    rows = sharding.shard(docs, 10).withColumn("h", F.xxhash64("text")).collect()
+    rows.sort(key=lambda r: (r.h, r.doc_id))
+    total, at, share = sum(r["size"] for r in rows), 0, 0
+    off = sharding.TOLERANCE / 10 * total + 17 * 32 + 16
+    for r in rows:
+        assert (r.shard - 0.0) * total / 10 - off <= at <= (r.shard + 1) * total / 10 + off
+        assert r.shard >= share
+        share, at = r.shard, at + r["size"]
+
+
+def test_driver_work_does_not_grow_with_bytes(spark, monkeypatch):
+    """Probes of ten thousand times the bytes are as many as those of a small table."""
+    asked = []
+
+    def below(rows, probes):
+        asked.append(len(probes))
+        at = (probes[:, 0].astype(float) + 2.0**63) / 2.0**64  # rows spread evenly over the hashes
+        return np.rint(at * 10**13).astype(np.int64), np.rint(at * 10**10).astype(np.int64)
+
+    monkeypatch.setattr(sharding, "_below", below)
+    totals = spark.createDataFrame([(10**13,)], "size long")
+    cuts, _ = sharding.splitters(totals, [i / 40 for i in range(1, 40)], sharding.TOLERANCE / 40)
+    assert len(cuts) == 39 and cuts == sorted(cuts) and sum(asked) < 10_000

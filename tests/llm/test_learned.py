@@ -2,6 +2,7 @@
 
 import random
 import re
+import time
 
 import numpy as np
 import pytest
@@ -238,3 +239,26 @@ def test_items_in_odd_rows(spark, odd_docs, no_docs):
     assert sorted(found) == [(4, 1), (4, 4), (5, 1), (5, 1), (5, 4), (5, 4), (6, 5)]
     assert decontaminate.contaminated(no_docs, benchmark).count() == 0
     assert decontaminate.contaminated(odd_docs, benchmark.where("false")).count() == 0
+
+
+def test_pieces_of_random_strings_beside_base_spans(spark):
+    labelled = [(x, y) for i in range(2000) for x, y in ((noise(i, 32), 1), (identifier(i), 0))]
+    weights = secret_scan.train(spark.createDataFrame(labelled, "value string, label int"))
+    key, rest = "AKIA" + "Q7" * 8, noise(77_000, 40)
+    texts = [f"é {key}/{rest} end", f"{rest}/{'0a1b' * 7}-{rest}", f"token={rest}", rest]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    found = secret_scan.scan(docs, weights)
+    rows = by_id(found.withColumn("out", secret_scan.masked(F.col("text"), F.col("secrets"))))
+    assert rows[0].out == "é <SECRET><SECRET> end"
+    assert [tuple(s)[1] for s in rows[0].secrets] == [1, 3] and rows[0].text[rows[0].secrets[1].start:][:41] == "/" + rest
+    assert rest not in rows[1].out and "0a1b" not in rows[1].out and rows[2].out == "<SECRET>" and rows[3].out == "<SECRET>"
+
+
+def test_masks_of_very_many_secrets_take_linear_time(spark):
+    one = "password: abcdefgh1234 é "
+    docs = spark.createDataFrame([(1, one * 32_000)], "doc_id long, text string")
+    found = secret_scan.scan(docs, [0] * len(secret_scan.ALPHABET) ** 2)
+    started = time.perf_counter()
+    row = found.select(secret_scan.masked(F.col("text"), F.col("secrets")).alias("out")).first()
+    assert row.out == "<SECRET> é " * 32_000
+    assert time.perf_counter() - started < 30

@@ -17,6 +17,8 @@ import math
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from veilrank.functions.arrays import cut, fold_out, text_blocks
+
 # The base rules.
 ASSIGN = (
     r"(?i:(password|passwd|secret|token|api_?key))[\"']?\x20*[:=]\x20*[\"']?([A-Za-z0-9+/_.=-]+)"
@@ -35,6 +37,7 @@ IDENTIFIER = rf"(?<![{_CLASS}])[A-Za-z_][A-Za-z0-9_]{{11,}}(?![{_CLASS}])"
 SMOOTH = 1.0
 LEAST_TOTAL = 12_000  # thousandths of a nat, over the whole string
 LEAST_MEAN = 500  # and for each of its pairs
+LEAST_PIECE = 8  # characters of a random string beside a base span
 _CHUNK = 256
 
 
@@ -153,12 +156,36 @@ def likelihood_ratio(value: Column, weights: list[int]) -> Column:
     return F.aggregate(F.split(value, ""), start, step)["sum"]
 
 
+def _uncovered(added: Column, base: Column) -> Column:
+    """What base spans leave of the added ones: one fold over both, by start."""
+    rows = "array<struct<start:long,kind:int,end:long>>"
+
+    def step(state: Column, x: Column) -> tuple[Column, Column]:
+        """The state: how far base spans cover, and the end of the added span that is open."""
+        stop = F.when(x["kind"] == 3, state["open"]).otherwise(F.least(state["open"], x["start"]))
+        piece = F.array(F.struct(state["from"].alias("start"), F.lit(3).alias("kind"), stop.alias("end")))
+        long_enough = stop - state["from"] >= LEAST_PIECE
+        # An added span ends before the next one starts, so either kind of start may close it.
+        out = F.when(long_enough, piece).otherwise(F.array().cast(rows))
+        covered = F.when(x["kind"] == 3, state["covered"]).otherwise(F.greatest(state["covered"], x["end"]))
+        opened = F.when(x["kind"] == 3, x["end"]).otherwise(state["open"])
+        first = F.when(x["kind"] == 3, F.greatest(x["start"], covered)).otherwise(F.greatest(state["from"], x["end"]))
+        return F.struct(covered.alias("covered"), opened.alias("open"), first.alias("from")), out
+
+    zero = F.lit(0).cast("long")
+    start = F.struct(zero.alias("covered"), zero.alias("open"), zero.alias("from"))
+    end = F.struct(F.lit(2**62).alias("start"), F.lit(0).alias("kind"), F.lit(2**62).alias("end"))
+    both = F.concat(F.array_sort(F.concat(added, base)), F.array(end)).cast(rows)
+    return F.when(F.size(added) == 0, added).otherwise(fold_out(both, start, step, rows)["out"])
+
+
 def scan(docs: DataFrame, weights: list[int]) -> DataFrame:
     """``docs`` with ``secrets``: an array of ``(start, kind, end)`` by start, then kind.
 
-    ``kind`` is an index of ``KINDS``; matches of one kind never overlap.  A random string that
-    overlaps a base span is not told again.  A null text has no spans.  A column of this name is
-    replaced, other columns and repeated rows stay.
+    ``kind`` is an index of ``KINDS``; matches of one kind never overlap.  A random string is scored whole, from
+    16 characters on; where base spans cover parts of it, what is left of it is told, from
+    ``LEAST_PIECE`` characters on.  A null text has no spans.  A column of this name is replaced, other columns and
+    repeated rows stay.
     """
     docs = docs.drop("secrets")
     text = F.coalesce("text", F.lit(""))
@@ -186,10 +213,7 @@ def scan(docs: DataFrame, weights: list[int]) -> DataFrame:
     added = F.when(
         F.exists("_random", lambda x: x), _spans(own, CANDIDATE, 3, F.col("_long"), F.col("_random"))
     ).otherwise(F.array().cast("array<struct<start:long,kind:int,end:long>>"))
-    added = F.filter(added, lambda r: ~F.exists(
-        "_base", lambda b: (b["start"] < r["end"]) & (r["start"] < b["end"])
-    ))
-    return step.withColumn("secrets", F.array_sort(F.concat("_base", added))).drop(
+    return step.withColumn("secrets", F.array_sort(F.concat("_base", _uncovered(added, F.col("_base"))))).drop(
         "_text", "_assign", "_access", "_hex", "_long", "_base", "_random"
     )
 
@@ -207,21 +231,31 @@ def count_of(spans: Column, kind: str) -> Column:
 
 
 def masked(text: Column, spans: Column, mark: str = "<SECRET>") -> Column:
-    """The text with every span, or run of overlapping spans, replaced by the mark."""
-    start = F.struct(F.lit(0).cast("long").alias("end"), F.array().cast("array<string>").alias("parts"))
-
-    def step(acc: Column, x: Column) -> Column:
-        between = F.substring(text, (acc["end"] + 1).cast("int"), (x["start"] - acc["end"]).cast("int"))
-        return F.when(
-            x["start"] < acc["end"],
-            F.struct(F.greatest(acc["end"], x["end"]).alias("end"), acc["parts"].alias("parts")),
-        ).otherwise(F.struct(
-            x["end"].alias("end"),
-            F.concat(acc["parts"], F.array(between, F.lit(mark))).alias("parts"),
-        ))
+    """The text with every span, or run of overlapping spans, replaced by the mark.
 
-    whole = _let(F.aggregate(spans, start, step), lambda acc: F.concat(
-        F.array_join(acc["parts"], ""),
-        F.substring(text, (acc["end"] + 1).cast("int"), F.char_length(text)),
-    ))
+    Linear in text and spans: overlapping spans are joined by a fold in chunks, and what lies between is cut
+    from blocks of the text.
+    """
+    run = "struct<start:long,end:long>"
+
+    def join(held: Column, x: Column) -> tuple[Column, Column]:
+        apart = held.isNull() | (x["start"] >= held["end"])
+        start = F.when(apart, x["start"]).otherwise(held["start"])
+        end = F.when(apart, x["end"]).otherwise(F.greatest(held["end"], x["end"]))
+        done = F.when(held.isNotNull() & apart, F.array(held)).otherwise(F.array().cast(f"array<{run}>"))
+        return F.struct(start.alias("start"), end.alias("end")), done
+
+    def around(found: Column) -> Column:
+        runs, blocks = found["runs"], found["blocks"]
+        last = F.get(runs, F.size(runs) - 1)["end"].cast("int")
+
+        def piece(x: Column, i: Column) -> Column:
+            before = F.coalesce(F.get(runs, i - 1)["end"], F.lit(0)).cast("int")
+            return F.concat(cut(blocks, before, x["start"].cast("int")), F.lit(mark))
+
+        return F.concat(F.array_join(F.transform(runs, piece), ""), cut(blocks, last, F.char_length(text)))
+
+    folded = fold_out(spans, F.lit(None).cast(run), join, f"array<{run}>")
+    runs = _let(folded, lambda x: F.concat(x["out"], F.array(x["state"])))
+    whole = _let(F.struct(runs.alias("runs"), text_blocks(text).alias("blocks")), around)
     return F.when(F.size(spans) > 0, whole).otherwise(text)

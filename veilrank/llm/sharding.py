@@ -6,12 +6,13 @@ it is within tolerance of its share or no row lies between its candidates.  A bo
 texts is tried first, so that equal texts stay together; only a splitter that falls into a group
 too large for the tolerance goes on by key and cuts the group.  Splitters known, rows move once.
 
-The same rounds find inner boundaries that keep every task of the exchange to a bounded number of
-bytes.  Their exact row counts give each task its first slot, so slots need no second pass.
+What the driver holds and does grows with the number of shards and not with the bytes.  Within a shard rows are
+dealt to parts of a bounded number of bytes by hash, and counted once by part, which numbers the slots.
 """
 
 from __future__ import annotations
 
+from bisect import bisect_left, bisect_right
 from collections.abc import Iterator
 
 import numpy as np
@@ -111,13 +112,13 @@ def splitters(rows: DataFrame, shares: list[float], tolerance: float) -> tuple[l
         for p, s, c in zip(sorted(asked), size.tolist(), count.tolist()):
             known[p] = (s, c)
         points = sorted(known)
+        totals = [known[p][0] for p in points]
         for i in range(n):
-            for p in points:
-                if best[i] is None or miss(i, p) < miss(i, best[i]):
-                    best[i] = p
-            under = [p for p in points if known[p][0] <= goal[i]]
-            over = [p for p in points if known[p][0] > goal[i]]
-            bounds[i] = [max([bounds[i][0], under[-1]]), min([bounds[i][1], *over[:1]])]
+            over = bisect_right(totals, goal[i])  # the first point above the goal
+            bounds[i] = [max(bounds[i][0], points[over - 1]), min([bounds[i][1], *points[over : over + 1]])]
+            # of points with the same rows below, the first: it lies before a text and not within one
+            near = [points[bisect_left(totals, totals[j])] for j in (over - 1, over) if j < len(points)]
+            best[i] = min(near, key=lambda p: miss(i, p))
     chosen = [b or (_LOW, _LOW) for b in best]
     return chosen, [known[p][1] for p in chosen]
 
@@ -142,27 +143,31 @@ def shard(docs: DataFrame, shards: int, key: str = "doc_id", text: str = "text")
         sized.select(F.col("_hash").alias("hash"), F.col("_key").alias("key"), "size"), "sizes"
     )
     total = narrow.agg(F.coalesce(F.sum("size"), F.lit(0))).first()[0]
-    inner = max(1, -(-total // (shards * TASK_BYTES)))
-    parts = shards * inner
-    cuts, rows_below = splitters(narrow, [i / parts for i in range(1, parts)], TOLERANCE / shards)
+    cuts, _ = splitters(narrow, [i / shards for i in range(1, shards)], TOLERANCE / shards)
     first = np.array([h for h, _ in cuts], np.int64)
     last = np.array([k for _, k in cuts], np.int64)
 
-    def place(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            at = position(first, last, batch.column("_hash").to_numpy(), batch.column("_key").to_numpy())
-            yield pa.RecordBatch.from_arrays(
-                [*batch.columns, pa.array(at.astype(np.int32))], names=[*batch.schema.names, "_part"]
-            )
+    def placed(rows: DataFrame, hash_: str, key_: str) -> DataFrame:
+        def place(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            for batch in batches:
+                at = position(first, last, batch.column(hash_).to_numpy(), batch.column(key_).to_numpy())
+                yield pa.RecordBatch.from_arrays(
+                    [*batch.columns, pa.array(at.astype(np.int32))], names=[*batch.schema.names, "shard"]
+                )
+
+        schema = StructType([*rows.schema.fields, StructField("shard", IntegerType())])
+        part = F.pmod(F.xxhash64(hash_, key_), F.lit(inner)).alias("_part")
+        return rows.mapInArrow(place, schema).select("*", part)
 
-    placed = sized.mapInArrow(
-        place, StructType([*sized.schema.fields, StructField("_part", IntegerType())])
+    # Parts of a shard, by hash, keep a task to a bounded number of bytes; a part's first slot is the
+    # number of rows in the parts before it.
+    inner = max(1, -(-total // (shards * TASK_BYTES)))
+    earlier = Window.partitionBy("shard").orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
+    offsets = placed(narrow, "hash", "key").groupBy("shard", "_part").agg(F.count(F.lit(1)).alias("_n")).select(
+        "shard", "_part", F.coalesce(F.sum("_n").over(earlier), F.lit(0)).alias("_before")
+    )
+    order = Window.partitionBy("shard", "_part").orderBy("_hash", "_key")
+    numbered = placed(sized, "_hash", "_key").withColumn("_at", F.row_number().over(order) - 1)
+    return numbered.join(offsets, ["shard", "_part"]).select(
+        *docs.columns, "size", "text_crc32", "shard", (F.col("_at") + F.col("_before")).alias("slot")
     )
-    # Rows of a shard that lie in its earlier parts: exact counts of the last round.
-    below = [0, *rows_below]
-    offset = F.array(*(F.lit(below[p] - below[p - p % inner]).cast("long") for p in range(parts)))
-    order = Window.partitionBy("_part").orderBy("_hash", "_key")
-    return placed.withColumns({
-        "shard": (F.col("_part") / inner).cast("int"),
-        "slot": F.row_number().over(order) - 1 + F.get(offset, F.col("_part")),
-    }).drop("_hash", "_key", "_part")

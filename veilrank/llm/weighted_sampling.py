@@ -34,8 +34,9 @@ def _lane(i: int, weights: list[str]) -> list[Column]:
     """For each column of log weights the key of sample ``lane * LANE + i``: least first."""
     one = F.xxhash64("h", F.col("lane") * LANE + i)
     two = F.xxhash64(one, F.lit(1))
-    r = -F.log(_unit(one, 0, 21) * _unit(one, 21, 21))
-    c = F.log(-F.log(_unit(one, 42, 22) * _unit(two, 0, 22) * (1 - 2.0**-50)))
+    below_one = 1 - 2.0**-50  # so that no logarithm is zero
+    r = -F.log(_unit(one, 0, 21) * _unit(one, 21, 21) * below_one)
+    c = F.log(-F.log(_unit(one, 42, 22) * _unit(two, 0, 22) * below_one))
     b = _unit(two, 22, 22)
     keys = []
     for w in weights:
