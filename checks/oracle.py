@@ -293,6 +293,10 @@ ORACLE["read_resume_csv"] = """SELECT doc_id, lang AS "Category", text AS "Resum
 ORACLE["reject_bad_rows"] = """
 SELECT doc_id, lang, CASE WHEN n_chars % 3 < 2 THEN text END AS text,
   n_chars % 3 = 1 AS rejected FROM documents"""
+ORACLE["csv_causes"] = """
+SELECT doc_id, CASE n_chars % 4 WHEN 1 THEN 'n_chars' WHEN 2 THEN 'day' END AS column,
+  CASE n_chars % 4 WHEN 1 THEN 'no. ' || n_chars WHEN 2 THEN '31-31-2020' ELSE n_chars::VARCHAR END AS cell,
+  CASE n_chars % 4 WHEN 1 THEN 'not a int' WHEN 2 THEN 'not a date' END AS cause FROM documents"""
 ORACLE["read_text_docs"] = "SELECT item_id, text FROM benchmark"
 _REDACTED = f"""WITH {CORPUS}
 SELECT doc_id, {{}} AS anonymized_content FROM corpus"""
@@ -457,6 +461,20 @@ SELECT count(*) AS n_negatives,
 ORACLE["leakage_audit"] = f"""WITH {PAIRS}, {SPLIT}
 SELECT DISTINCT doc_id FROM split WHERE split = 'train'
   AND doc_id IN (SELECT doc_id FROM split WHERE split = 'test')"""
+# Histograms of up to 15 pairs of a label, above that by powers of two.
+_KIND = ", ".join(f"CASE WHEN n{i} < 16 THEN n{i} ELSE floor(log2(n{i}))::BIGINT + 16 END" for i in (0, 1))
+GROUPED = f"""keyed AS (SELECT pair_id, md5(resume_clean) AS text_key, label FROM pairs),
+  sizes AS (SELECT text_key, count(*) FILTER (label = 0) AS n0, count(*) FILTER (label = 1) AS n1
+    FROM keyed GROUP BY text_key),
+  kinds AS (SELECT text_key, concat_ws(',', {_KIND}) AS kind FROM sizes),
+  lined AS (SELECT text_key, row_number() OVER (PARTITION BY kind ORDER BY md5('42:' || text_key), text_key) AS r,
+    count(*) OVER (PARTITION BY kind) AS n, ('0x' || substr(md5(kind), 1, 4))::INTEGER / 65536.0 AS odd FROM kinds),
+  grouped AS (SELECT pair_id, text_key, label, CASE WHEN r <= floor(n * 70 / 100 + odd) THEN 'train'
+    WHEN r <= floor(n * 85 / 100 + odd) THEN 'val' ELSE 'test' END AS split FROM keyed JOIN lined USING (text_key))"""
+ORACLE["grouped_split"] = f"WITH {PAIRS}, {GROUPED} SELECT * FROM grouped"
+ORACLE["grouped_leakage_audit"] = f"""WITH {PAIRS}, {GROUPED}
+SELECT DISTINCT text_key FROM grouped WHERE split = 'train'
+  AND text_key IN (SELECT text_key FROM grouped WHERE split = 'test')"""
 ORACLE["lexical_score"] = f"""WITH {_ASSIGNED}
 SELECT doc_id, item_id, round({score(scrub('jd_text'), scrub('text'))}, 6) AS score FROM assigned"""
 ORACLE["score_pairs_with"] = f"""WITH {CLEAN}

@@ -7,6 +7,7 @@ from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from checks import tables as t
 from veilrank.catalog import SCORING_TOKENS, TRAIN_TOKENS
@@ -61,6 +62,23 @@ def _(spark, d):
     return readers.read_csv_with_rejects(spark, path, schema, header=False)
 
 
+@query("csv_causes")
+def _(spark, d):
+    docs = t.documents(spark, d)
+    odd = F.col("n_chars") % 4
+    number = F.when(odd == 1, F.concat(F.lit("no. "), "n_chars")).otherwise(F.col("n_chars").cast("string"))
+    day = F.when(odd == 2, "31-31-2020").otherwise("2020-01-31")
+    lines = docs.select(F.concat_ws(",", F.col("doc_id").cast("string"), number, day, "lang"))
+    path = scratch_path(spark, "causes-csv")
+    lines.write.text(path)
+    schema = StructType.fromDDL("doc_id long, n_chars int, day date, lang string")
+    good, rejects = readers.read_csv_with_causes(spark, path, schema, header=False)
+    told = rejects.select(F.col("record.doc_id").cast("long").alias("doc_id"), "column", "cell", "cause")
+    nothing = F.lit(None).cast("string")
+    return told.unionByName(good.select("doc_id", nothing.alias("column"), F.col("n_chars").cast("string").alias("cell"),
+                                        nothing.alias("cause")))
+
+
 @query("read_text_docs")
 def _(spark, d):
     path = scratch_path(spark, "text")
@@ -412,6 +430,22 @@ def _(spark, d):
     return split.drop("category")
 
 
+def _grouped(spark, d):
+    """Pairs split by résumé text, so that copies of one text stay together."""
+    copies = _pairs(spark, d).withColumn("text_key", F.md5(F.col("resume_clean").cast("binary")))
+    return pairs.grouped_split(copies, "text_key")
+
+
+@query("grouped_split")
+def _(spark, d):
+    return _grouped(spark, d).select("pair_id", "text_key", "label", "split")
+
+
+@query("grouped_leakage_audit")
+def _(spark, d):
+    return pairs.leakage_audit(_grouped(spark, d), "text_key")
+
+
 @query("split_summary")
 def _(spark, d):
     return pairs.split_summary(pairs.stratified_split(_pair_keys(spark, d)))

@@ -263,3 +263,22 @@ def test_merged_rankings_equal_a_full_run(spark):
         stored = arrived if stored is None else materialize(ranking.merge_rankings(stored, arrived, 6), "ranking")
     assert told(stored) == told(ranking.rank_resumes_per_jd(jds, frame(docs), k=6))
     assert told(ranking.merge_rankings(stored, stored, 6)) == told(stored)  # the same part twice
+
+
+def test_grouped_split_keeps_documents_whole_and_shares_even(spark):
+    rng = np.random.default_rng(31)
+    rows = [(f"{d}:{i}", d, int(rng.integers(0, 2))) for d in range(3000) for i in range(int(rng.integers(1, 6)))]
+    rows += [(f"big:{i}", 5000, i % 2) for i in range(100)] + [(f"null:{i}", None, i % 2) for i in range(4)]
+    table = spark.createDataFrame(rows, "pair_id string, doc_id long, label int")
+    split = materialize(pairs.grouped_split(table), "grouped")
+    assert pairs.leakage_audit(split).count() == 0
+    got = split.collect()
+    assert sorted(r.pair_id for r in got) == sorted(r[0] for r in rows)
+    assert len({r["split"] for r in got if r.doc_id is None}) == 1
+    for label in (0, 1):
+        own = [r["split"] for r in got if r.label == label]
+        for name, share in (("train", 0.70), ("val", 0.15), ("test", 0.15)):
+            assert abs(own.count(name) / len(own) - share) < 0.01
+    with pytest.raises(Exception, match="unexpected label"):
+        pairs.grouped_split(spark.createDataFrame([("a", 1, 7)], "pair_id string, doc_id long, label int")).collect()
+    assert pairs.grouped_split(table.where("false")).count() == 0

@@ -1,6 +1,7 @@
 import json
 
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from veilrank import session
 from veilrank.plans.redaction_job import redaction_table
@@ -87,3 +88,16 @@ def test_spread_goes_by_bytes_and_not_by_files(spark, tmp_path):
         spark.range(100).repartition(files).write.parquet(str(tmp_path / name))
         small = session.spread(spark.read.parquet(str(tmp_path / name)), "id")
         assert small.rdd.getNumPartitions() == cores
+
+
+def test_csv_rejects_tell_cell_and_cause(spark, tmp_path):
+    (tmp_path / "a.csv").write_text(
+        'id,when,note\n1,2020-01-31,"two\nlines"\nx2,2020-02-30,both\n3,,short\n4,2020-01-01,a,extra\n5\n'
+    )
+    schema = StructType.fromDDL("id int, when date, note string")
+    good, rejects = readers.read_csv_with_causes(spark, str(tmp_path / "a.csv"), schema)
+    assert good.schema == schema
+    assert sorted((r.id, str(r.when), r.note) for r in good.collect()) == [
+        (1, "2020-01-31", "two\nlines"), (3, "None", "short"), (5, "None", None)]
+    told = sorted((r.record.id, r["column"] or "", r.cell or "", r.cause) for r in rejects.collect())
+    assert told == [("4", "", "", "too many cells"), ("x2", "id", "x2", "not a int"), ("x2", "when", "2020-02-30", "not a date")]

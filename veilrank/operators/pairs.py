@@ -121,6 +121,41 @@ def stratified_split(
     )
 
 
+def grouped_split(
+    pairs: DataFrame, key: str = "doc_id", label: str = "label", labels: tuple[int, ...] = (0, 1), seed: int = SEED
+) -> DataFrame:
+    """Add ``split`` so that all pairs of a document are in one split: nothing tested was trained on.
+
+    Documents of the same histogram of labels are cut 70 / 15 / 15 in seeded hash order, so every split has the
+    labels in the same shares.  Counts of 16 and more are taken by powers of two, which bounds the number of
+    histograms.  The part of a document that a cut leaves over is rounded by a hash of the histogram, up or down, so
+    that many rare histograms do not all favour one split.  A null key is one document; other labels raise.
+    """
+    known = F.coalesce(F.col(label).isin(*labels), F.lit(False))
+    checked = F.when(known, F.coalesce(F.col(key).cast("string"), F.lit(""))).otherwise(
+        F.raise_error(F.lit("unexpected label"))
+    )
+    named = pairs.withColumn("_document", checked)
+    counts = named.groupBy("_document").agg(
+        *(F.count_if(F.col(label) == v).alias(f"_n{i}") for i, v in enumerate(labels))
+    )
+    sizes = [F.col(f"_n{i}") for i in range(len(labels))]
+    kind = F.concat_ws(",", *(
+        F.when(n < 16, n).otherwise(F.floor(F.log2(n.cast("double"))) + 16).cast("string") for n in sizes
+    ))
+    documents = counts.select("_document", kind.alias("_kind"))
+    odd = F.conv(F.substring(F.md5("_kind"), 1, 4), 16, 10).cast("double") / 65536
+    percent = [SHARES["train"], SHARES["train"] + SHARES["val"]]
+    targets = [F.floor(F.col("n_group") * p / 100 + odd) for p in percent]
+    cuts = hash_cuts(documents, "_kind", "_document", seed, targets)
+    dealt = documents.join(F.broadcast(cuts), "_kind", "left").select(
+        "_document",
+        F.when(up_to(F.col("cut_0"), F.col("_document"), seed), "train")
+        .when(up_to(F.col("cut_1"), F.col("_document"), seed), "val").otherwise("test").alias("split"),
+    )
+    return named.join(dealt, "_document").drop("_document")
+
+
 def split_summary(split: DataFrame) -> DataFrame:
     return split.groupBy("split", "label").agg(F.count(F.lit(1)).alias("n"))
 

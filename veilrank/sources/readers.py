@@ -67,6 +67,39 @@ def read_resume_csv(
     return records.where(~F.col("rejected")).drop("rejected")
 
 
+def read_csv_with_causes(
+    spark: SparkSession,
+    path: str | list[str],
+    schema: StructType = RESUME_SCHEMA,
+    header: bool = True,
+) -> tuple[DataFrame, DataFrame]:
+    """The records that fit the schema, and the rejects: ``(record, column, cell, cause)``.
+
+    Every cell is read as text and cast where that is possible, so a record whose number or date
+    cannot be read is told with its cell instead of losing the value.  A reject has one row for each
+    cell at fault (``not a <type>``), or one for a record with too many cells; ``record`` has its cells as text.
+    """
+    text = StructType([StructField(f.name, StringType()) for f in schema.fields])
+    raw = read_csv_with_rejects(spark, path, text, header)
+    record = F.struct(*schema.names).alias("record")
+    fault = "array<struct<column:string,cell:string,cause:string>>"
+    typed = [f for f in schema.fields if not isinstance(f.dataType, StringType)]
+    faults = F.array_compact(F.array(*(
+        F.when(
+            F.col(f.name).isNotNull() & F.col(f.name).try_cast(f.dataType).isNull(),
+            F.struct(F.lit(f.name).alias("column"), F.col(f.name).alias("cell"),
+                     F.lit(f"not a {f.dataType.simpleString()}").alias("cause")),
+        ) for f in typed
+    )).cast(fault))
+    nothing = F.lit(None).cast("string")
+    many = F.array(F.struct(nothing.alias("column"), nothing.alias("cell"), F.lit("too many cells").alias("cause")))
+    read = raw.withColumn("_faults", F.when(F.col("rejected"), many.cast(fault)).otherwise(faults))
+    good = read.where(F.size("_faults") == 0).select(
+        *(F.col(f.name).try_cast(f.dataType).alias(f.name) for f in schema.fields)
+    )
+    return good, read.select(record, F.explode("_faults").alias("_fault")).select("record", "_fault.*")
+
+
 def read_text_docs(spark: SparkSession, paths: str | list[str]) -> DataFrame:
     """One document per UTF-8 text file, ``(path, text)``, line ends as LF."""
     files = spark.read.text(paths, wholetext=True)
