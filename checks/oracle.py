@@ -290,6 +290,7 @@ MASKED = f"""{ISLANDS},
 # --- Sources and sinks ----------------------------------------------------------
 
 ORACLE["read_resume_csv"] = """SELECT doc_id, lang AS "Category", text AS "Resume" FROM documents"""
+ORACLE["read_csv_split"] = ORACLE["read_resume_csv"]
 ORACLE["reject_bad_rows"] = """
 SELECT doc_id, lang, CASE WHEN n_chars % 3 < 2 THEN text END AS text,
   n_chars % 3 = 1 AS rejected FROM documents"""

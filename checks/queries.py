@@ -16,7 +16,7 @@ from veilrank.operators import content, entities, matching, metrics, pairs, rank
 from veilrank.operators import ranks, statistics
 from veilrank.plans import matching_job, redaction_job
 from veilrank.session import scratch_path, spread
-from veilrank.sources import readers, writers
+from veilrank.sources import readers, split_csv, writers
 from veilrank.streaming import incremental
 
 JD_TEXT = "There the information that is thand on her with the whole ration of en and der"
@@ -45,6 +45,14 @@ def _(spark, d):
     return readers.read_resume_csv(spark, path, docs.schema)
 
 
+@query("read_csv_split")
+def _(spark, d):
+    docs = t.documents(spark, d).selectExpr("doc_id", "lang AS Category", "text AS Resume")
+    path = scratch_path(spark, "one-csv")
+    writers.write_redacted(docs, path)
+    return split_csv.read_csv_split(spark, path, docs.schema).where("NOT rejected").drop("rejected")
+
+
 @query("reject_bad_rows")
 def _(spark, d):
     docs = t.documents(spark, d)

@@ -5,7 +5,7 @@ from pyspark.sql.types import StructType
 
 from veilrank import session
 from veilrank.plans.redaction_job import redaction_table
-from veilrank.sources import readers, writers
+from veilrank.sources import readers, split_csv, writers
 from veilrank.streaming.incremental import incremental_redact, stream_parquet
 
 
@@ -101,3 +101,29 @@ def test_csv_rejects_tell_cell_and_cause(spark, tmp_path):
         (1, "2020-01-31", "two\nlines"), (3, "None", "short"), (5, "None", None)]
     told = sorted((r.record.id, r["column"] or "", r.cell or "", r.cause) for r in rejects.collect())
     assert told == [("4", "", "", "too many cells"), ("x2", "id", "x2", "not a int"), ("x2", "when", "2020-02-30", "not a date")]
+
+
+def test_split_csv_equals_whole_files_at_any_range_size(spark, tmp_path):
+    rows = [(i, f"c{i % 7}", 'say "hi",\n' * (i % 5) + "x" * (i * 37 % 300) + ("\r\n\n,é" if i % 3 else "")) for i in range(200)]
+    schema = StructType.fromDDL("id long, kind string, note string")
+    spark.createDataFrame(rows, schema).coalesce(2).write.option("header", True).option("quote", '"').option(
+        "escape", '"').csv(str(tmp_path / "csv"))
+    (tmp_path / "csv" / "extra.csv").write_text(
+        'id,kind,note\r\n900,a,b,c\r\n\r\n901,short\r\n902,"q, ""r""\n\n' + "long line\n" * 300 + '",z\r\n903,,', "utf8")
+    whole = readers.read_csv_with_rejects(spark, str(tmp_path / "csv"), schema)
+    want = sorted(map(str, whole.collect()))
+    assert len(want) == 204 and whole.where("rejected").count() == 1
+    before = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    try:
+        for size in (40, 333, 4096, 1 << 20):
+            spark.conf.set("spark.sql.files.maxPartitionBytes", size)
+            got = split_csv.read_csv_split(spark, str(tmp_path / "csv"), schema)
+            assert got.schema == whole.schema
+            assert sorted(map(str, got.collect())) == want
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", before)
+
+
+def test_split_csv_of_no_records(spark, tmp_path):
+    (tmp_path / "a.csv").write_text("Category,Resume\n")
+    assert split_csv.read_csv_split(spark, str(tmp_path / "a.csv")).count() == 0

@@ -9,11 +9,11 @@ from pyspark.sql.types import StringType, StructField, StructType
 RESUME_SCHEMA = StructType(
     [StructField("Category", StringType()), StructField("Resume", StringType())]
 )
-_CORRUPT = "_corrupt_record"
+CORRUPT = "_corrupt_record"
 
 
-def _with_corrupt(schema: StructType) -> StructType:
-    return StructType(list(schema.fields) + [StructField(_CORRUPT, StringType())])
+def with_corrupt(schema: StructType) -> StructType:
+    return StructType(list(schema.fields) + [StructField(CORRUPT, StringType())])
 
 
 def read_csv_with_rejects(
@@ -27,21 +27,21 @@ def read_csv_with_rejects(
     Records with too few cells are kept, their missing cells null.
     """
     raw = (
-        spark.read.schema(_with_corrupt(schema))
+        spark.read.schema(with_corrupt(schema))
         .option("header", header)
         .option("encoding", "UTF-8")
         .option("multiLine", True)
         .option("quote", '"')
         .option("escape", '"')
         .option("mode", "PERMISSIVE")
-        .option("columnNameOfCorruptRecord", _CORRUPT)
+        .option("columnNameOfCorruptRecord", CORRUPT)
         .csv(path)
     )
-    rejected = _too_many_cells(F.col(_CORRUPT), F.col(schema.names[-1]), len(schema.names))
-    return raw.withColumn("rejected", rejected).drop(_CORRUPT)
+    rejected = too_many_cells(F.col(CORRUPT), F.col(schema.names[-1]), len(schema.names))
+    return raw.withColumn("rejected", rejected).drop(CORRUPT)
 
 
-def _too_many_cells(record: Column, last: Column, columns: int) -> Column:
+def too_many_cells(record: Column, last: Column, columns: int) -> Column:
     """Whether a flagged record has too many cells: separators outside quotes tell.
 
     The last column takes part because Spark refuses to read the flag alone, as a plain count
@@ -61,7 +61,7 @@ def read_resume_csv(
 ) -> DataFrame:
     """CSV with a header, UTF-8 and quoted multi-line cells; over-long records are left out.
 
-    A multi-line file cannot be split, so parallelism comes from the number of files.
+    A file is read by one task; ``split_csv.read_csv_split`` reads a large one by many.
     """
     records = read_csv_with_rejects(spark, path, schema, header)
     return records.where(~F.col("rejected")).drop("rejected")
