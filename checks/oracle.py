@@ -357,6 +357,22 @@ SELECT doc_id, entity_type, ord, entity_text FROM entities"""
 ORACLE["score_threshold"] = f"""WITH {CORPUS}
 SELECT rule_id, score, count(*) AS n FROM ({rule_spans(['EDUCATION_DATES'])})
 WHERE score >= 0.65 GROUP BY rule_id, score"""
+_NEAR_WORDS = {
+    "EDUCATION_DATES": "education|university|college|school|degree|graduated",
+    "WORK_DATES": "experience|work|job|company|employment",
+}
+_NEAR = " OR ".join(
+    f"(entity_type = '{t}' AND regexp_matches(around, '(?i)(^|[^\\w~])({w})([^\\w~]|$)'))" for t, w in _NEAR_WORDS.items()
+)
+ORACLE["score_in_context"] = f"""WITH {CORPUS},
+  found AS (SELECT s.*, corpus.text AS whole FROM ({rule_spans(list(_NEAR_WORDS))}) s JOIN corpus USING (doc_id)),
+  near AS (SELECT *, CASE WHEN "start" > 60 THEN '~' ELSE '' END
+      || substr(whole, greatest("start" - 60, 0) + 1, least("start", 60)) || '~ ~' || substr(whole, "end" + 1, 60)
+      || CASE WHEN "end" + 60 < length(whole) THEN '~' ELSE '' END AS around FROM found),
+  lifted AS (SELECT * REPLACE (CASE WHEN {_NEAR} THEN least(round(score + 0.35, 6), 1.0) ELSE score END AS score)
+    FROM near)
+SELECT doc_id, "start", "end", CAST(score AS DOUBLE) AS score, entity_type, text, rule_id
+FROM lifted WHERE score >= 0.65"""
 ORACLE["type_mapping"] = f"""WITH {CORPUS},
   counts AS (SELECT entity_type, count(*) AS n FROM ({rule_spans()}) GROUP BY entity_type)
 SELECT entity_type, unnest(CASE WHEN entity_type = 'PERSON_NAME' THEN ['PERSON', 'NRP']
@@ -413,6 +429,7 @@ ORACLE["mask_spans"] = f"WITH {MASKED} SELECT doc_id, anonymized_content FROM ma
 ORACLE["entities_by_resume"] = f"""WITH {LATEST}
 SELECT resume_id, doc_id, entity_type, string_agg(entity_text, ' | ' ORDER BY ord) AS texts
 FROM latest JOIN entities USING (doc_id) GROUP BY resume_id, doc_id, entity_type"""
+ORACLE["latest_entities"] = ORACLE["entities_by_resume"]
 ORACLE["redact_with_status"] = f"""WITH b AS ({BLANKS_SQL}),
   r AS (SELECT doc_id, text, {fold('text', RULES)} AS anonymized_content FROM b)
 SELECT doc_id, anonymized_content, CASE WHEN {blank('text')} THEN 'blank'

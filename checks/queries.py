@@ -233,6 +233,13 @@ def _(spark, d):
     )
 
 
+@query("score_in_context")
+def _(spark, d):
+    spans = entities.spans_in_context(F.col("text"), ["EDUCATION_DATES", "WORK_DATES"])
+    found = t.corpus(spark, d).select("doc_id", spans.alias("spans"))
+    return entities.explode_spans(found, "doc_id")
+
+
 @query("type_mapping")
 def _(spark, d):
     spans = entities.detect_spans(F.col("text"))
@@ -389,6 +396,17 @@ def _(spark, d):
     return rows.withColumn("texts", F.array_join("texts", " | "))
 
 
+@query("latest_entities")
+def _(spark, d):
+    arrived, out = scratch_path(spark, "arrived"), scratch_path(spark, "latest")
+    docs = t.corpus(spark, d)
+    docs.repartition(6, "doc_id").write.parquet(arrived)
+    stream = incremental.stream_parquet(spark, arrived, docs.schema, files_per_batch=2)
+    incremental.incremental_entities(stream, out, scratch_path(spark, "latest-state")).awaitTermination()
+    rows = entities.explode_map(incremental.latest_entities(spark, out), "resume_id", "doc_id")
+    return rows.withColumn("texts", F.array_join("texts", " | "))
+
+
 @query("redact_with_status")
 def _(spark, d):
     made = redaction_job.redaction_table(t.blank_resumes(spark, d), "text", method="rules")

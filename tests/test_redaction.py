@@ -208,3 +208,25 @@ def test_masks_of_very_many_spans_take_linear_time(spark):
     rows = df.select(made.alias("out")).collect()
     assert rows[0].out == "é <EMAIL> <NAME> " * 32_000
     assert time.perf_counter() - started < 10
+
+
+def test_context_words_lift_scores_near_them(each):
+    def kept(*values):
+        found = en.spans_in_context(F.col("text"), ["EDUCATION_DATES"])
+        return each(F.transform(found, lambda s: F.struct(s["text"], s["score"])), *values)
+
+    far = "x " * 40
+    got = kept(
+        "graduated Mar 2015", "Mar 2015, my DEGREE", "Mar 2015", f"graduated {far} Mar 2015",
+        "undergraduated Mar 2015", "graduatedMar 2015", "collegeé Mar 2015", None, "", "school 2010 to 2014",
+        "a" * 55 + "schools Mar 2015", "preschool " + "c" * 53 + " Mar 2015", "school " + "b" * 5000 + " Mar 2015 " + "c" * 5000,
+    )
+    lifted = [("Mar 2015", 0.95)]
+    assert [[tuple(s) for s in (spans or [])] for spans in got] == [
+        lifted, lifted, [], [], [], [], [], [], [], [("2010 to 2014", 1.0)], [], [], []]
+
+
+def test_context_takes_part_in_masking(texts):
+    df = texts("graduated Mar 2015", "left Mar 2015")
+    rows = en.redact_by_spans(df, types=["EDUCATION_DATES"], context=True).orderBy("doc_id").collect()
+    assert [r.anonymized_content for r in rows] == ["graduated <EDUCATION_DATES>", "left Mar 2015"]

@@ -6,7 +6,15 @@ from pyspark.sql.types import StructType
 from veilrank import session
 from veilrank.plans.redaction_job import redaction_table
 from veilrank.sources import readers, split_csv, writers
-from veilrank.streaming.incremental import incremental_redact, stream_parquet
+from veilrank.functions.text import resume_id
+from veilrank.operators.entities import entities_by_resume, entity_map
+from veilrank.streaming.incremental import (
+    compact_entities,
+    incremental_entities,
+    incremental_redact,
+    latest_entities,
+    stream_parquet,
+)
 
 
 def test_csv_round_trip(spark, tmp_path):
@@ -127,3 +135,27 @@ def test_split_csv_equals_whole_files_at_any_range_size(spark, tmp_path):
 def test_split_csv_of_no_records(spark, tmp_path):
     (tmp_path / "a.csv").write_text("Category,Resume\n")
     assert split_csv.read_csv_split(spark, str(tmp_path / "a.csv")).count() == 0
+
+
+def test_latest_entities_in_any_order_and_after_restarts(spark, tmp_path):
+    rows = [(1, "a@b.co Age: 31"), (2, "plain"), (3, "a@b.co Age: 44"), (4, "c@d.org"), (5, None), (6, "a@b.co Age: 7")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+
+    def lines(df):
+        return sorted((r.resume_id or "", r.doc_id, str(r.entities)) for r in df.collect())
+
+    def batch(df):
+        named = df.select("doc_id", resume_id(F.col("text")).alias("resume_id"), entity_map(F.col("text")).alias("entities"))
+        return lines(entities_by_resume(named, "doc_id", "resume_id", "entities"))
+
+    for n, order in enumerate(((1, 2, 3, 4, 5, 6), (6, 3, 1, 5, 4, 2))):
+        source, out, state = (str(tmp_path / f"{name}{n}") for name in ("in", "out", "state"))
+        for i, own in enumerate(order):
+            docs.where(F.col("doc_id") == own).coalesce(1).write.mode("append").parquet(source)
+            if i in (1, 3, 5):  # the query stops and starts again, and is told some files at a time
+                stream = stream_parquet(spark, source, docs.schema, files_per_batch=1)
+                incremental_entities(stream, out, state).awaitTermination()
+                seen = docs.where(F.col("doc_id").isin(*order[: i + 1]))
+                assert lines(latest_entities(spark, out)) == batch(seen)
+    compact_entities(spark, out, str(tmp_path / "small"))
+    assert lines(latest_entities(spark, str(tmp_path / "small"))) == batch(docs)

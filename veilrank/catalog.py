@@ -60,6 +60,24 @@ DEFAULT_PLACEHOLDER = "<REDACTED>"
 DETECTORS = {"PERSON_NAME": ("PERSON", "NRP")}
 
 SCORE_THRESHOLD = 0.65
+# Words near a span that speak for its type, how much they lift its score, and how many characters near is.
+CONTEXT_WORDS = {
+    "PERSON_NAME": ("name", "full name", "father", "mother"),
+    "EMAIL_ADDRESS": ("email", "e-mail", "mail"),
+    "PHONE_NUMBER": ("phone", "mobile", "cell", "telephone", "contact"),
+    "SOCIAL_MEDIA": ("profile", "social", "media", "link"),
+    "DATE_OF_BIRTH": ("birth", "born", "DOB"),
+    "GENDER": ("gender", "sex", "male", "female"),
+    "MARITAL_STATUS": ("marital", "married", "single", "divorced"),
+    "ADDRESS": ("address", "location", "residence", "live"),
+    "EDUCATION_DATES": ("education", "university", "college", "school", "degree", "graduated"),
+    "WORK_DATES": ("experience", "work", "job", "company", "employment"),
+    "COMPANY_NAME": ("company", "employer", "organization", "firm"),
+    "SCHOOL_NAME": ("education", "university", "college", "school", "institute"),
+    "AGE": ("age", "years old", "year old"),
+}
+CONTEXT_LIFT = 0.35
+CONTEXT_WINDOW = 60
 CONTENT_KEYWORDS = ("description", "detail", "skill", "education", "company")
 TRAIN_TOKENS = 1536
 SCORING_TOKENS = 512

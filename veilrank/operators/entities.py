@@ -22,6 +22,7 @@ from veilrank.catalog import (
     select_types,
 )
 from veilrank.functions.arrays import cut, fold_out, let, text_blocks
+from veilrank.functions.context import lift_scores
 from veilrank.functions.matching import SPAN_TYPE, field_spans, rule_spans, rule_texts
 
 _ISLAND = (
@@ -96,13 +97,27 @@ def above_threshold(spans: Column, threshold: float = SCORE_THRESHOLD) -> Column
     return F.filter(spans, lambda s: s["score"] >= threshold)
 
 
-def all_spans(
+def spans_in_context(
     text: Column, types: Iterable[str] | None = None, threshold: float = SCORE_THRESHOLD
 ) -> Column:
-    """Rule hits at or above the threshold, and the field extractors' spans."""
-    return F.concat(
-        above_threshold(detect_spans(text, types), threshold), extra_spans(text, types)
+    """Rule hits at or above the threshold once the words near them have lifted their scores."""
+    return let(detect_spans(text, types), lambda s: above_threshold(lift_scores(text, s), threshold))
+
+
+def all_spans(
+    text: Column,
+    types: Iterable[str] | None = None,
+    threshold: float = SCORE_THRESHOLD,
+    context: bool = False,
+) -> Column:
+    """Rule hits at or above the threshold, and the field extractors' spans.
+
+    With ``context`` the words near a hit lift its score first.
+    """
+    hits = spans_in_context(text, types, threshold) if context else above_threshold(
+        detect_spans(text, types), threshold
     )
+    return F.concat(hits, extra_spans(text, types))
 
 
 def span_entities(spans: Column) -> Column:
@@ -196,9 +211,10 @@ def redact_by_spans(
     threshold: float = SCORE_THRESHOLD,
     keep_raw: bool = False,
     output: str = "anonymized_content",
+    context: bool = False,
 ) -> DataFrame:
     """Detect, merge and mask in one pass over the text."""
-    staged = df.withColumn("_spans", all_spans(F.col(text), types, threshold))
+    staged = df.withColumn("_spans", all_spans(F.col(text), types, threshold, context))
     staged = staged.withColumn("_islands", resolve_overlaps(F.col("_spans")))
     out = staged.withColumn(output, mask_spans(F.col(text), F.col("_islands")))
     out = out.drop("_spans", "_islands")

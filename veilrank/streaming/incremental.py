@@ -1,14 +1,17 @@
-"""Redaction of arriving files."""
+"""Redaction of arriving files, and the latest entities of every résumé id."""
 
 from __future__ import annotations
 
 from collections.abc import Iterable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 from pyspark.sql.types import StructType
 
 from veilrank.catalog import SCORE_THRESHOLD
+from veilrank.functions.text import resume_id
+from veilrank.operators.entities import entities_by_resume, entity_map
 from veilrank.plans.redaction_job import redaction_table
 
 
@@ -55,3 +58,51 @@ def incremental_redact(
         .trigger(availableNow=True)
         .start()
     )
+
+
+_BATCH = "batch_id"
+
+
+def incremental_entities(
+    docs: DataFrame,
+    output: str,
+    checkpoint: str,
+    key: str = "doc_id",
+    text: str = "text",
+    types: Iterable[str] | None = None,
+) -> StreamingQuery:
+    """Keep the entities of every résumé id: those of its last document that has any.
+
+    The aggregate of ``entities_by_resume`` runs with state: for each id the document of the greatest key seen
+    so far.  An earlier document that arrives late changes nothing, so any order of files gives
+    the batch result.  Each batch writes the ids it changed to a folder of its own number; a batch that is
+    repeated after a failure writes the same folder again.  ``latest_entities`` reads the table.
+    State grows with the ids, not with the documents; for many of them choose the RocksDB state store.
+    """
+    found = docs.select(
+        key, resume_id(F.col(text)).alias("resume_id"), entity_map(F.col(text), types).alias("entities")
+    )
+
+    def write(changed: DataFrame, batch: int) -> None:
+        changed.write.mode("overwrite").parquet(f"{output}/{_BATCH}={batch}")
+
+    return (
+        entities_by_resume(found, key, "resume_id", "entities")
+        .writeStream.foreachBatch(write)
+        .option("checkpointLocation", checkpoint)
+        .outputMode("update")
+        .trigger(availableNow=True)
+        .start()
+    )
+
+
+def latest_entities(spark: SparkSession, output: str, key: str = "doc_id") -> DataFrame:
+    """``(resume_id, key, entities)`` as of the last batch: for each id the row that was written last."""
+    rows = spark.read.parquet(output)
+    last = F.max_by(F.struct(key, "entities"), _BATCH).alias("last")
+    return rows.groupBy("resume_id").agg(last).select("resume_id", f"last.{key}", "last.entities")
+
+
+def compact_entities(spark: SparkSession, output: str, compacted: str, key: str = "doc_id") -> None:
+    """Write the latest rows alone to another folder, which ``latest_entities`` reads as well."""
+    latest_entities(spark, output, key).withColumn(_BATCH, F.lit(0).cast("long")).write.parquet(compacted)
