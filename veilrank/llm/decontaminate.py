@@ -3,13 +3,15 @@
 Texts become ids of the words that benchmark items use.  Passages of a fixed number of words make a
 TF-IDF table over all documents; its strongest directions come from a randomised SVD whose two passes
 are sums over all passages, so only tables of terms by directions leave the tasks.  Columns are
-scaled to unit length for the SVD, so that a word counts by the company it keeps and not by its
-frequency, and the items' own passages are part of the table.  Passages and items are folded into the
+scaled to the length of their IDF for the SVD, so that a frequent word does not count for its frequency
+alone, and the items' own passages are part of the table.  Passages and items are folded into the
 latent space, and a passage that is near an item's passage by cosine is a candidate.  A candidate holds
 if the longest common subsequence of the item's words and the words around the passage covers enough of
 the item, and enough of its answer.
 
-The benchmark is worked on in blocks of ``BLOCK_ITEMS`` items, which bounds the tables.
+All items share one vocabulary, one coded copy of the documents and one latent space, whose tables grow with
+the words of the benchmark and not with the documents.  Passages are searched for ``BLOCK`` at a time, which bounds the
+table of cosines and changes no result.
 """
 
 from __future__ import annotations
@@ -27,16 +29,16 @@ from veilrank.session import materialize
 
 HALF = 12  # words in half a passage; passages overlap by that
 DIRECTIONS, MORE = 256, 16  # of the latent space, and further ones while it is searched
-RARE = 8  # words of every item that are kept however common they are
+RARE = 8  # words of every passage of an item that are kept however common they are
 COMMON = 0.01  # share of passages from which a word is left out otherwise
 ITEM_WEIGHT = 3.0
-LEAST_WORDS = 3  # kept words in a passage that is looked at
+LEAST_WORDS = 3  # kept words in a passage that is looked at, or all those of the shortest item if fewer
 COSINE = 0.5
 OVERLAP = 0.6  # share of the item's words in the longest common subsequence
 ANSWER = 0.5  # share of the answer's words
-BLOCK_ITEMS = 2000
+BLOCK = 2048  # item passages whose cosines are worked out at a time
 _FIX = 1 << 24  # sums are carried in whole numbers of this fraction
-_BLOCK = 64
+_ROWS = 64
 
 
 def words_of(text: str | None) -> list[str]:
@@ -158,9 +160,9 @@ def gram_product(coded: DataFrame, column: np.ndarray, scale: np.ndarray, b: np.
                 firsts = _starts(own[order])
                 for i, at in zip(firsts, np.split(order, firsts[1:])):  # one round for each term
                     total[own[order[i]]] += sums[passage[at]].sum(0)
-        yield sum_rows(np.rint(total * scale[:, None] * _FIX).astype(np.int64), _BLOCK)
+        yield sum_rows(np.rint(total * scale[:, None] * _FIX).astype(np.int64), _ROWS)
 
-    return collect_sums(coded.select("ids").mapInArrow(run, SUMS), b.shape, _BLOCK) / _FIX
+    return collect_sums(coded.select("ids").mapInArrow(run, SUMS), b.shape, _ROWS) / _FIX
 
 
 def latent_basis(coded: DataFrame, items: list[Item], terms: int):
@@ -169,18 +171,20 @@ def latent_basis(coded: DataFrame, items: list[Item], terms: int):
     df, passages = counts[:terms, 0], max(1, int(counts[terms, 0]))
     keep = df <= COMMON * passages
     for item in items:
-        own = np.unique(item.ids)
-        keep[own[np.argsort(df[own], kind="stable")[:RARE]]] = True
+        for _, passage in _split(item.ids):
+            own = np.unique(passage)
+            keep[own[np.argsort(df[own], kind="stable")[:RARE]]] = True
     column = np.where(keep, np.cumsum(keep) - 1, -1)
     kept = np.flatnonzero(keep)
     idf = np.log((passages + 1) / (df[kept] + 1)) + 1
-    scale = 1 / np.sqrt(np.maximum(counts[kept, 1], 1))
+    scale = idf / np.sqrt(np.maximum(counts[kept, 1], 1))
     rows = [column[p][column[p] >= 0] for item in items for _, p in _split(item.ids)]
 
     def times(b: np.ndarray) -> np.ndarray:
         out = gram_product(coded, column, scale, b)
-        for own in rows:  # the items' passages, rows of unit columns
-            np.add.at(out, own, ITEM_WEIGHT**2 * b[own].sum(0) / max(1, len(own)))
+        for own in rows:  # the items' passages, rows of the same columns
+            weight = idf[own, None]
+            np.add.at(out, own, ITEM_WEIGHT**2 * weight * (weight * b[own]).sum(0) / max(1, len(own)))
         return out
 
     width = min(DIRECTIONS + MORE, len(kept))
@@ -214,6 +218,7 @@ def _search(coded: DataFrame, items: list[Item], column, idf, basis) -> DataFram
 
     known = np.array([fold(p) for _, _, p in passages], np.float32).reshape(len(passages), latent.shape[1])
     known /= np.maximum(np.linalg.norm(known, axis=1, keepdims=True), 1e-9)
+    least = min(LEAST_WORDS, *(int((column[np.unique(p)] >= 0).sum()) for _, _, p in passages)) if passages else 1
 
     def near(ids: np.ndarray, sizes: np.ndarray) -> Iterator[tuple[int, int, int, float]]:
         """Candidates: text, first word of its passage, item's passage, cosine."""
@@ -228,7 +233,7 @@ def _search(coded: DataFrame, items: list[Item], column, idf, basis) -> DataFram
         both = count + np.where(double, np.append(count[1:], 0), 0)
         # A last half is a passage of its own only where a text has no other.
         alone = double | (np.arange(total) == first[text])
-        windows = np.flatnonzero((both >= LEAST_WORDS) & alone)
+        windows = np.flatnonzero((both >= least) & alone)
         if not len(windows):
             return
         needed = np.zeros(total + 1, bool)
@@ -251,9 +256,10 @@ def _search(coded: DataFrame, items: list[Item], column, idf, basis) -> DataFram
             sums = np.vstack([sums, np.zeros((1, sums.shape[1]), np.float32)])
             z = sums[back[half[w]]] + sums[back[half[np.where(double[w], w + 1, total)]]]
             z /= np.maximum(np.linalg.norm(z, axis=1, keepdims=True), 1e-9)
-            cosine = z @ known.T
-            for i, p in np.argwhere(cosine >= COSINE):
-                yield int(text[w[i]]), int((w[i] - first[text[w[i]]]) * HALF), int(p), float(cosine[i, p])
+            for low in range(0, len(known), BLOCK):
+                cosine = z @ known[low : low + BLOCK].T
+                for i, p in np.argwhere(cosine >= COSINE):
+                    yield int(text[w[i]]), int((w[i] - first[text[w[i]]]) * HALF), int(low + p), float(cosine[i, p])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -298,28 +304,19 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, carried: Sequence[str] =
     spark = docs.sparkSession
     columns = ["item_id", "text"] + (["answer"] if "answer" in benchmark.columns else [])
     given = benchmark.select(*columns).where("item_id IS NOT NULL").distinct().orderBy("item_id", "text")
-    held: DataFrame | None = None
-    rows = given.toLocalIterator()
-    while True:
-        block = [r for r, _ in zip(rows, range(BLOCK_ITEMS))]
-        vocabulary: dict[str, int] = {}
-
-        def ids(words: list[str]) -> np.ndarray:
-            return np.array([vocabulary.setdefault(w, len(vocabulary)) for w in words], np.int32)
-
-        items = []
-        for r in block:
-            words = words_of(r.text)
-            if words:
-                answer = words_of(r.answer) if "answer" in columns else []
-                items.append(Item(r.item_id, ids(words), ids(answer or words[-(-3 * len(words) // 4) :] or words)))
-        if items:
-            coded = materialize(encode(docs.select("doc_id", *carried, "text"), vocabulary), "words")
-            found = _search(coded, items, *latent_basis(coded, items, len(vocabulary)))
-            held = found if held is None else held.unionByName(found)
-        if len(block) < BLOCK_ITEMS:
-            break
-    if held is None:
+    vocabulary: dict[str, int] = {}
+
+    def ids(words: list[str]) -> np.ndarray:
+        return np.array([vocabulary.setdefault(w, len(vocabulary)) for w in words], np.int32)
+
+    items = []
+    for r in given.toLocalIterator():
+        words = words_of(r.text)
+        if words:
+            answer = words_of(r.answer) if "answer" in columns else []
+            items.append(Item(r.item_id, ids(words), ids(answer or words[-(-3 * len(words) // 4) :] or words)))
+    if not items:
         types = "item_id long, cosine double, overlap double"
         return spark.createDataFrame([], replaced_schema(docs.select("doc_id", *carried).schema, types, ""))
-    return held
+    coded = materialize(encode(docs.select("doc_id", *carried, "text"), vocabulary), "words")
+    return _search(coded, items, *latent_basis(coded, items, len(vocabulary)))
