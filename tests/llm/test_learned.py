@@ -232,6 +232,80 @@ def test_items_in_documents(spark):
     assert all(r.cosine >= decontaminate.COSINE and r.overlap >= decontaminate.OVERLAP for r in found)
 
 
+def edited_copies():
+    """Items and documents that hold them with two words in five changed; a third of them hold item 0."""
+    draw = random.Random(31)
+
+    def words(n):
+        return [f"w{int(draw.random() ** 3 * 3000)}" for _ in range(n)]  # some words are frequent
+
+    items = [words(n) for n in (60, 24, 30, 36, 45, 90, 13, 150)]
+    rows = []
+    for i in range(300):
+        text = words(150)
+        if i % 3 == 0 or i % 5 == 0:
+            own = list(items[0 if i % 3 == 0 else i // 5 % len(items)])
+            for k in draw.sample(range(len(own)), 2 * len(own) // 5):
+                own[k] = f"w{draw.randrange(3000)}"
+            at = draw.randrange(150)
+            text[at:at] = own
+        rows.append(text)
+    return items, rows
+
+
+def test_edited_items_against_all_pairs(spark, monkeypatch):
+    items, rows = edited_copies()
+    names: dict[str, int] = {}
+
+    def ids(words):
+        return np.array([names.setdefault(w, len(names)) for w in words])
+
+    want = set()
+    for n, item in enumerate(items):
+        answer = item[-(-3 * len(item) // 4):]
+        for i, text in enumerate(rows):
+            shared = decontaminate.common_length(ids(item), ids(text)) / len(item)
+            told = decontaminate.common_length(ids(answer), ids(text)) / len(answer)
+            if shared >= decontaminate.OVERLAP and told >= decontaminate.ANSWER:
+                want.add((i, n))
+    docs = spark.createDataFrame([(i, " ".join(r)) for i, r in enumerate(rows)], "doc_id long, text string")
+    benchmark = spark.createDataFrame([(n, " ".join(x)) for n, x in enumerate(items)], "item_id long, text string")
+
+    def found():
+        return {(r.doc_id, r.item_id) for r in decontaminate.contaminated(docs, benchmark).collect()}
+
+    first = found()
+    assert len(want) > 90 and sum(n == 0 for _, n in want) > 60
+    assert first <= want and len(first) >= 0.9 * len(want)
+    monkeypatch.setattr(decontaminate, "BLOCK", 3)  # the size of the slices changes nothing
+    monkeypatch.setattr(decontaminate, "SLICE", 7)
+    assert found() == first
+
+
+def test_refused_windows_hold_no_item():
+    draw = np.random.default_rng(8)
+    items = [decontaminate.Item(i, draw.integers(0, 40, n), np.zeros(1, int)) for i, n in enumerate((5, 20, 60))]
+    ids = draw.integers(-1, 40, 5000)
+    begin = draw.integers(0, 4800, 400)
+    end, which = begin + draw.integers(0, 200, 400), draw.integers(0, 3, 400)
+    may = decontaminate.may_hold(ids, begin, end, which, items, 40)
+    assert 0 < may.sum() < 400
+    for b, e, n, m in zip(begin, end, which, may):
+        own = items[n].ids.tolist()
+        shared = sum(min(own.count(w), ids[b:e].tolist().count(w)) for w in set(own))
+        assert m == (shared / len(own) >= decontaminate.OVERLAP)
+        assert m or decontaminate.common_length(items[n].ids, ids[b:e]) < decontaminate.OVERLAP * len(own)
+    assert not len(decontaminate.may_hold(ids, begin[:0], end[:0], which[:0], items, 40))
+
+
+def test_items_of_one_and_two_words(spark):
+    docs = spark.createDataFrame([(1, "some rare thing"), (2, "quite another"), (3, "the two words here"), (4, "words two")],
+                                 "doc_id long, text string")
+    benchmark = spark.createDataFrame([(1, "Rare"), (2, "two words")], "item_id long, text string")
+    found = {(r.doc_id, r.item_id) for r in decontaminate.contaminated(docs, benchmark).collect()}
+    assert found == {(1, 1), (3, 2)}
+
+
 def test_items_in_odd_rows(spark, odd_docs, no_docs):
     items = [(1, prose(1, 80)), (2, None), (3, ""), (None, "one two"), (4, prose(1, 80)), (5, prose(3, 40))]
     benchmark = spark.createDataFrame(items, "item_id long, text string")

@@ -37,6 +37,7 @@ COSINE = 0.5
 OVERLAP = 0.6  # share of the item's words in the longest common subsequence
 ANSWER = 0.5  # share of the answer's words
 BLOCK = 2048  # item passages whose cosines are worked out at a time
+SLICE = 16_384  # candidates checked at a time
 _FIX = 1 << 24  # sums are carried in whole numbers of this fraction
 _ROWS = 64
 
@@ -208,6 +209,30 @@ def common_length(a: np.ndarray, b: np.ndarray) -> int:
     return len(a) - row.bit_count()
 
 
+def may_hold(ids: np.ndarray, begin: np.ndarray, end: np.ndarray, which: np.ndarray, items: list[Item], terms: int) -> np.ndarray:
+    """Whether the words of ``ids`` from ``begin`` to ``end`` share enough with item ``which``, order aside.
+
+    No common subsequence is longer than the words that two texts share, counted as often as both have them,
+    so a window refused here cannot hold its item.
+    """
+    may = np.zeros(len(which), bool)
+    local = np.full(terms + 1, -1)  # the last for words that no item has
+    order = np.argsort(which, kind="stable")
+    firsts = _starts(which[order]) if len(which) else []
+    for first, own in zip(firsts, np.split(order, firsts[1:]) if len(which) else []):
+        item = items[which[order[first]]]
+        words, times = np.unique(item.ids, return_counts=True)
+        local[words] = np.arange(len(words))
+        n = end[own] - begin[own]
+        at = np.arange(int(n.sum())) + np.repeat(begin[own] - (np.cumsum(n) - n), n)
+        word = local[ids[at]]
+        cell = np.repeat(np.arange(len(own)), n) * len(words) + word
+        held = np.bincount(cell[word >= 0], minlength=len(own) * len(words)).reshape(len(own), -1)
+        may[own] = np.minimum(held, times).sum(1) / len(item.ids) >= OVERLAP
+        local[words] = -1
+    return may
+
+
 def _search(coded: DataFrame, items: list[Item], column, idf, basis) -> DataFrame:
     passages = [(n, at, p) for n, item in enumerate(items) for at, p in _split(item.ids)]
     latent = (basis * idf[:, None]).astype(np.float32)
@@ -220,8 +245,8 @@ def _search(coded: DataFrame, items: list[Item], column, idf, basis) -> DataFram
     known /= np.maximum(np.linalg.norm(known, axis=1, keepdims=True), 1e-9)
     least = min(LEAST_WORDS, *(int((column[np.unique(p)] >= 0).sum()) for _, _, p in passages)) if passages else 1
 
-    def near(ids: np.ndarray, sizes: np.ndarray) -> Iterator[tuple[int, int, int, float]]:
-        """Candidates: text, first word of its passage, item's passage, cosine."""
+    def near(ids: np.ndarray, sizes: np.ndarray) -> Iterator[tuple[np.ndarray, ...]]:
+        """Candidates, some at a time: texts, first words of their passages, items' passages, cosines."""
         own = np.where(ids >= 0, column[ids], -1)
         place = _places(sizes, HALF)
         halves = -(-sizes // HALF)
@@ -258,8 +283,14 @@ def _search(coded: DataFrame, items: list[Item], column, idf, basis) -> DataFram
             z /= np.maximum(np.linalg.norm(z, axis=1, keepdims=True), 1e-9)
             for low in range(0, len(known), BLOCK):
                 cosine = z @ known[low : low + BLOCK].T
-                for i, p in np.argwhere(cosine >= COSINE):
-                    yield int(text[w[i]]), int((w[i] - first[text[w[i]]]) * HALF), int(low + p), float(cosine[i, p])
+                rows, cols = np.nonzero(cosine >= COSINE)
+                for low_row in range(0, len(rows), SLICE):
+                    i, p = rows[low_row : low_row + SLICE], cols[low_row : low_row + SLICE]
+                    own_text = text[w[i]]
+                    yield own_text, (w[i] - first[own_text]) * HALF, low + p, cosine[i, p]
+
+    item_of, offset_of = (np.array([p[i] for p in passages], np.int64) for i in (0, 1))
+    sizes_of = np.array([len(item.ids) for item in items], np.int64)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -268,16 +299,18 @@ def _search(coded: DataFrame, items: list[Item], column, idf, basis) -> DataFram
                 ends = np.cumsum(sizes)
                 found: dict[tuple[int, int], tuple[float, float]] = {}
                 for text, at, p, cosine in near(ids, sizes):
-                    n, offset, _ = passages[p]
-                    item = items[n]
-                    if (text, n) in found:
-                        continue
-                    own = ids[ends[text] - sizes[text] : ends[text]]
-                    slack = HALF + len(item.ids) // 4
-                    around = own[max(0, at - offset - slack) : at - offset + len(item.ids) + HALF + slack]
-                    share = common_length(item.ids, around) / len(item.ids)
-                    if share >= OVERLAP and common_length(item.answer, around) >= ANSWER * len(item.answer):
-                        found[text, n] = (cosine, share)
+                    which = item_of[p]
+                    slack = HALF + sizes_of[which] // 4
+                    begin = ends[text] - sizes[text] + np.maximum(0, at - offset_of[p] - slack)
+                    end = np.minimum(ends[text], ends[text] - sizes[text] + at - offset_of[p] + sizes_of[which] + HALF + slack)
+                    for i in np.flatnonzero(may_hold(ids, begin, end, which, items, len(column))):
+                        pair = int(text[i]), int(which[i])
+                        if pair in found:
+                            continue
+                        item, around = items[pair[1]], ids[begin[i] : end[i]]
+                        share = common_length(item.ids, around) / len(item.ids)
+                        if share >= OVERLAP and common_length(item.answer, around) >= ANSWER * len(item.answer):
+                            found[pair] = (float(cosine[i]), share)
                 out += [(start + t, items[n].item_id, *v) for (t, n), v in found.items()]
             rows = pa.array([r[0] for r in out], pa.int64())
             part = pa.RecordBatch.from_struct_array(
