@@ -16,7 +16,11 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-SAMPLES, LANE = 64, 16  # samples of a fingerprint, and those worked out from one row
+from veilrank.session import materialize
+
+SAMPLES = 64  # of a fingerprint
+#: Words that can come below this many times the expected least rank of a text are drawn first.
+REACH = 10.0
 NONE = 0xFFFFFFFF  # the sample of a text without words
 _LOW = -(2**63)
 #: Rows of one bucket of neighbours, at most about so many, and the most cells of the id histogram.
@@ -30,82 +34,123 @@ def _unit(bits: Column, from_: int, width: int) -> Column:
     return (part + 1) / F.lit(float(1 << width))
 
 
-def _lane(i: int, weights: list[str]) -> list[Column]:
-    """For each column of log weights the key of sample ``lane * LANE + i``: least first."""
-    one = F.xxhash64("h", F.col("lane") * LANE + i)
-    two = F.xxhash64(one, F.lit(1))
+def _keys(tokens: DataFrame, sides: int) -> DataFrame:
+    """For each side the key of a word in its sample: least first, null where the word has no weight.
+
+    ``tokens`` has the sample's hash of the word as ``one`` and log weights ``w0``, ``w1`` and so on.
+    Each step is a projection of its own, so that what several expressions need is worked out once.
+    """
     below_one = 1 - 2.0**-50  # so that no logarithm is zero
-    r = -F.log(_unit(one, 0, 21) * _unit(one, 21, 21) * below_one)
-    c = F.log(-F.log(_unit(one, 42, 22) * _unit(two, 0, 22) * below_one))
-    b = _unit(two, 22, 22)
-    keys = []
-    for w in weights:
-        t = F.floor(F.col(w) / r + b)
-        rank = c - r * (t - b + 1)
-        # 39 bits of the rank, which is between -81 and 4, before 24 bits that name the word and
-        # its step; null where the word has no weight
-        name = F.xxhash64(two, t).bitwiseAND(F.lit(0xFFFFFF))
-        keys.append(
-            F.shiftleft(((rank + 128) * 2.0**31).cast("long"), 24).bitwiseOR(name)
-        )
-    return keys
+    drawn = tokens.withColumn("two", F.xxhash64("one", F.lit(1))).withColumns({
+        "r": -F.log(_unit(F.col("one"), 0, 21) * _unit(F.col("one"), 21, 21) * below_one),
+        "c": F.log(-F.log(_unit(F.col("one"), 42, 22) * _unit(F.col("two"), 0, 22) * below_one)),
+        "b": _unit(F.col("two"), 22, 22),
+    }).withColumns({f"t{i}": F.floor(F.col(f"w{i}") / F.col("r") + F.col("b")) for i in range(sides)})
+    for i in range(sides):
+        rank = F.col("c") - F.col("r") * (F.col(f"t{i}") - F.col("b") + 1)
+        # 39 bits of the rank, which is between -81 and 4, before 24 bits that name the word and its step
+        name = F.xxhash64("two", f"t{i}").bitwiseAND(F.lit(0xFFFFFF))
+        key = F.shiftleft(((rank + 128) * 2.0**31).cast("long"), 24).bitwiseOR(name)
+        drawn = drawn.withColumn(f"key{i}", F.when(F.col(f"w{i}").isNotNull(), key))
+    return drawn
 
 
-def sample(rows: DataFrame, keys: list[str], texts: list[str], carried: Column) -> DataFrame:
-    """``keys``, ``carried`` and for each text column an array of ``SAMPLES`` samples.
+def _sampled(rows: DataFrame, keys: list[str], texts: list[str], carried: Column, reach: float) -> DataFrame:
+    """``keys``, ``carried``, samples of each text, and ``sure``: whether no other word can be a sample.
 
-    ``rows`` has one row for each value of ``keys`` and should lie hashed by the first of them; then
-    nothing moves.  ``carried`` is any text that goes along with the row.
+    The exponential of the least rank of a text of n words is exponential itself, of rate n; so it is
+    below ``reach / n`` but for odds of exp(-reach).  That of a word of weight w is at least
+    ``u (1 - v) / w``, where ``-ln u`` is its r and v one of the two parts of c.  Words for which this is
+    above ``reach / n`` are refused before any logarithm; a least rank below the bound is then the least of
+    all words.
     """
     sides = len(texts)
-    words = [F.split(F.lower(F.coalesce(t, F.lit(""))), r"\s+") for t in texts]
+    split = rows.select(
+        *keys, carried.alias("carried"),
+        *(F.split(F.lower(F.coalesce(t, F.lit(""))), r"\s+").alias(f"words{i}") for i, t in enumerate(texts)),
+        *(F.coalesce(F.col(t).rlike(r"\S"), F.lit(False)).alias(f"any{i}") for i, t in enumerate(texts)),
+    )
+    sizes = [f"size{i}" for i in range(sides)]
+    split = split.withColumns({
+        f"size{i}": F.when(F.col(f"any{i}"), F.size(f"words{i}")).otherwise(0) for i in range(sides)
+    })
     sets = F.array(*(
         F.struct(F.lit(i).alias("side"), w.alias("words"))
-        for i, w in enumerate([*words, F.array(carried)])
+        for i, w in enumerate([*(F.col(f"words{i}") for i in range(sides)), F.array("carried")])
     ))
-    tokens = rows.select(*keys, F.inline(sets)).select(*keys, "side", F.explode("words").alias("word"))
+    tokens = split.select(*keys, *sizes, F.inline(sets)).select(*keys, *sizes, "side", F.explode("words").alias("word"))
     tokens = tokens.where("word <> '' OR side = " + str(sides))
     marked = F.col("side") == sides
-    counted = tokens.groupBy(*keys, marked.alias("mark"), "word").agg(
+    counted = tokens.groupBy(*keys, *sizes, marked.alias("mark"), "word").agg(
         *(F.count_if(F.col("side") == i).alias(f"n{i}") for i in range(sides))
     )
-    lanes = F.when(F.col("mark"), F.array(F.lit(-1))).otherwise(F.sequence(F.lit(0), F.lit(SAMPLES // LANE - 1)))
-    drawn = counted.select(
-        *keys,
+    own = {i: ~F.col("mark") & (F.col(f"n{i}") > 0) for i in range(sides)}
+    h = counted.select(
+        *keys, *sizes, "mark",
         F.when(F.col("mark"), F.col("word")).alias("carried"),
         F.xxhash64("word").alias("h"),
-        *(F.when(~F.col("mark") & (F.col(f"n{i}") > 0), F.log(f"n{i}")).alias(f"w{i}") for i in range(sides)),
-        F.explode(lanes).alias("lane"),
+        *(F.when(own[i], F.log(f"n{i}")).alias(f"w{i}") for i in range(sides)),
+        F.when(F.col("mark"), F.lit(2.0)).otherwise(F.greatest(F.lit(0.0), *(
+            F.when(own[i], F.col(f"n{i}") * F.lit(reach) / F.col(f"size{i}")) for i in range(sides)
+        ))).alias("most"),
+    )
+    hashes = F.when(F.col("mark"), F.array(F.lit(0).cast("long"))).otherwise(
+        F.array(*(F.xxhash64("h", F.lit(i)) for i in range(SAMPLES)))
     )
-    weights = [f"w{i}" for i in range(sides)]
-    least = []
-    for i in range(LANE):
-        least += [F.min(key).alias(f"s{side}_{i}") for side, key in enumerate(_lane(i, weights))]
-    lane = drawn.groupBy(*keys, "lane", "carried").agg(*least)
-    parts = F.sort_array(F.collect_list(F.struct(
-        "lane", "carried",
-        *(F.array(*(F.col(f"s{side}_{i}") for i in range(LANE))).alias(f"a{side}") for side in range(sides)),
-    )))
-    whole = lane.groupBy(*keys).agg(parts.alias("parts"))
+    one = F.col("one")
+    least = _unit(one, 0, 21) * _unit(one, 21, 21) * (1 - _unit(one, 42, 22))
+    near = h.select(
+        *keys, *sizes, "mark", "carried", "most", *(f"w{i}" for i in range(sides)),
+        F.posexplode(hashes).alias("sample", "one"),
+    ).where(least <= F.col("most"))
+    lane = _keys(near, sides).groupBy(
+        *keys, F.when(F.col("mark"), -1).otherwise(F.col("sample")).alias("sample"), *sizes, "carried"
+    ).agg(*(F.min(f"key{i}").alias(f"key{i}") for i in range(sides)))
+    keyed = [f"key{i}" for i in range(sides)]
+    whole = lane.groupBy(*keys).agg(
+        F.max("carried").alias("carried"), *(F.max(s).alias(s) for s in sizes),
+        *(F.count(k).alias(f"count{i}") for i, k in enumerate(keyed)),
+        *(F.max(k).alias(f"max{i}") for i, k in enumerate(keyed)),
+        F.sort_array(F.collect_list(F.struct("sample", *keyed))).alias("parts"),
+    )
+    sure = F.lit(True)
+    for i in range(sides):
+        # two units of the rank's last bit make up for its rounding
+        rank = (F.shiftright(f"max{i}", 24) + 2) / F.lit(2.0**31) - 128
+        size = F.col(f"size{i}")
+        sure = sure & ((size == 0) | (
+            (F.col(f"count{i}") == SAMPLES) & (rank < F.log(F.lit(reach) / F.greatest(size, F.lit(1))))
+        ))
     none = F.array_repeat(F.lit(NONE), SAMPLES)
 
-    def lanes_of(side: int) -> Column:
-        return F.flatten(F.transform(F.slice("parts", 2, SAMPLES), lambda p: p[f"a{side}"]))
+    def samples(side: int) -> Column:
+        # the low half of a key: the name, and the rank's last bits
+        names = F.transform(
+            F.slice("parts", 2, SAMPLES),
+            lambda p: F.coalesce(p[f"key{side}"].bitwiseAND(F.lit(NONE)), F.lit(NONE)),
+        )
+        return F.when(F.col(f"size{side}") == 0, none).otherwise(names).alias(f"samples{side}")
 
     return whole.select(
-        *keys,
-        F.get("parts", 0)["carried"].alias("carried"),
-        *(
-            F.when(F.size("parts") == 1, none).otherwise(F.transform(
-                lanes_of(side),
-                # the low half of a key: the name, and the rank's last bits
-                lambda x: F.coalesce(x.bitwiseAND(F.lit(NONE)), F.lit(NONE)),
-            )).alias(f"samples{side}")
-            for side in range(sides)
-        ),
+        *keys, "carried", F.coalesce(sure, F.lit(False)).alias("sure"), *map(samples, range(sides))
     )
 
 
+def sample(rows: DataFrame, keys: list[str], texts: list[str], carried: Column) -> DataFrame:
+    """``keys``, ``carried`` and for each text column an array of ``SAMPLES`` samples.
+
+    ``rows`` has one row for each value of ``keys`` and should lie hashed by the first of them; then
+    words do not move.  ``carried`` is any text that goes along with the row.  Samples are written once, in the
+    shared folder; rows of which one is not sure to be the least of all words, one in hundreds, are
+    sampled again with every word.
+    """
+    found = materialize(_sampled(rows, keys, texts, carried, REACH), "samples")
+    unsure = found.where("NOT sure").select(*(F.col(k).alias(f"_{k}") for k in keys))
+    same = [rows[k].eqNullSafe(unsure[f"_{k}"]) for k in keys]
+    again = _sampled(rows.join(unsure, same, "left_semi"), keys, texts, carried, float("inf"))
+    return found.where("sure").unionByName(again).drop("sure")
+
+
 def written(samples: Column) -> Column:
     """Eight hexadecimal digits for each sample."""
     return F.array_join(F.transform(
