@@ -31,7 +31,7 @@ BROADCAST_BUCKETS = 1_000_000  # of 24 bytes
 def _unit(bits: Column, from_: int, width: int) -> Column:
     """A number in (0, 1] from some bits of a hash."""
     part = F.shiftrightunsigned(bits, from_).bitwiseAND(F.lit((1 << width) - 1))
-    return (part + 1) / F.lit(float(1 << width))
+    return (part.cast("double") + 1.0) * F.lit(2.0**-width)
 
 
 def _keys(tokens: DataFrame, sides: int) -> DataFrame:
@@ -60,9 +60,9 @@ def _sampled(rows: DataFrame, keys: list[str], texts: list[str], carried: Column
 
     The exponential of the least rank of a text of n words is exponential itself, of rate n; so it is
     below ``reach / n`` but for odds of exp(-reach).  That of a word of weight w is at least
-    ``u (1 - v) / w``, where ``-ln u`` is its r and v one of the two parts of c.  Words for which this is
-    above ``reach / n`` are refused before any logarithm; a least rank below the bound is then the least of
-    all words.
+    ``u (1 - v1 + 1 - v2) / w``, where ``-ln u`` is its r and ``-ln v1 - ln v2`` its c.  Words for which this
+    is above ``reach / n`` are refused before any logarithm, most of them by v1 alone; a least rank below the
+    bound is then the least of all words.
     """
     sides = len(texts)
     split = rows.select(
@@ -98,11 +98,12 @@ def _sampled(rows: DataFrame, keys: list[str], texts: list[str], carried: Column
         F.array(*(F.xxhash64("h", F.lit(i)) for i in range(SAMPLES)))
     )
     one = F.col("one")
-    least = _unit(one, 0, 21) * _unit(one, 21, 21) * (1 - _unit(one, 42, 22))
+    u = _unit(one, 0, 21) * _unit(one, 21, 21)
+    v1, v2 = _unit(one, 42, 22), _unit(F.xxhash64(one, F.lit(1)), 0, 22)
     near = h.select(
         *keys, *sizes, "mark", "carried", "most", *(f"w{i}" for i in range(sides)),
         F.posexplode(hashes).alias("sample", "one"),
-    ).where(least <= F.col("most"))
+    ).where((u * (1.0 - v1) <= F.col("most")) & (u * (2.0 - v1 - v2) <= F.col("most")))
     lane = _keys(near, sides).groupBy(
         *keys, F.when(F.col("mark"), -1).otherwise(F.col("sample")).alias("sample"), *sizes, "carried"
     ).agg(*(F.min(f"key{i}").alias(f"key{i}") for i in range(sides)))
