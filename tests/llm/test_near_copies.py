@@ -156,6 +156,18 @@ def test_edited_neighbours(spark, monkeypatch, n):
         assert abs(r.near_edited - jaccard(text, edited)) < 0.35 or not text
 
 
+def test_words_refused_by_the_bound_change_no_sample(spark, monkeypatch, odd_docs):
+    """A low bound leaves nearly every row unsure, an infinite one refuses no word."""
+    own = spark.createDataFrame([(i + 100, prose(i, 7 * i)) for i in range(40)], "doc_id long, text string")
+    docs = own.union(odd_docs.select("doc_id", "text"))
+
+    def rows(reach):
+        monkeypatch.setattr(weighted_sampling, "REACH", reach)
+        return sorted(map(repr, weighted_sampling.with_edits(docs).collect()))
+
+    assert rows(0.5) == rows(10.0) == rows(float("inf"))
+
+
 def test_fingerprints_of_odd_rows(odd_docs, no_docs):
     rows = weighted_sampling.with_edits(odd_docs).collect()
     assert len(rows) == odd_docs.count()

@@ -142,7 +142,7 @@ def sample(rows: DataFrame, keys: list[str], texts: list[str], carried: Column)
 
     ``rows`` has one row for each value of ``keys`` and should lie hashed by the first of them; then
     words do not move.  ``carried`` is any text that goes along with the row.  Samples are written once, in the
-    shared folder; rows of which one is not sure to be the least of all words, one in hundreds, are
+    shared folder; rows with a sample that is not sure to be the least of all words, one in hundreds, are
     sampled again with every word.
     """
     found = materialize(_sampled(rows, keys, texts, carried, REACH), "samples")
