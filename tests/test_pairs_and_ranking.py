@@ -212,6 +212,14 @@ def test_large_splittable_inputs_stay_where_they_are(spark, tmp_path):
         spark.conf.set("spark.sql.files.maxPartitionBytes", before)
 
 
+def test_spread_partitions_follow_the_rows_of_a_table_that_packs_small(spark, tmp_path):
+    for rows, partitions in ((1_000, 8), (300_000, 12), (600_000, 24)):
+        spark.range(rows).withColumn("text", F.lit("the same " * 10)).write.parquet(str(tmp_path / str(rows)))
+        df = spread(spark.read.parquet(str(tmp_path / str(rows))), "id")
+        assert df.rdd.getNumPartitions() == partitions
+        assert df.count() == rows
+
+
 @pytest.mark.parametrize("options", [{}, {"seed_rows": 1}, {"seed_rows": 10**9}, {"broadcast_bytes": 0, "salts": 2}])
 def test_pruned_ranking_of_skewed_words_equals_brute_force(spark, options):
     """Words from very rare to very common, so that bounds cut most of the pairs."""
