@@ -5,7 +5,9 @@ from pathlib import Path
 import pytest
 from pyspark.sql import functions as F
 
+from veilrank.catalog import select_rules
 from veilrank.functions import text as tx
+from veilrank.functions.matching import spark_pattern
 from veilrank.operators import entities as en
 from veilrank.operators.redact import blank_guard, redact, redact_column, text_status
 from veilrank.plans.redaction_job import redaction_table, run_redaction
@@ -230,3 +232,31 @@ def test_context_takes_part_in_masking(texts):
     df = texts("graduated Mar 2015", "left Mar 2015")
     rows = en.redact_by_spans(df, types=["EDUCATION_DATES"], context=True).orderBy("doc_id").collect()
     assert [r.anonymized_content for r in rows] == ["graduated <EDUCATION_DATES>", "left Mar 2015"]
+
+
+@pytest.mark.parametrize("text", [
+    "١٢٣-٤٥٦-٧٨٩٠ age ٤٢", "Ann\u0001 Lee Ann Lee 2010 to 2014", "Ann Lee\u0002 Bob Ray\u0001", "", None,
+    "Jan 2010 May 2011 to 2014 - 2015 - 2016", "xAnn Bob C. Dee", "Age: 42, 41 years old", "Photo: a.jpg.png Photo: b.gif",
+])
+def test_gates_and_marks_hide_no_match(each, text):
+    found = each(en.detect_spans(T), text)[0]
+    bare = {}
+    for rule in select_rules():
+        values = F.regexp_extract_all(T, F.lit(spark_pattern(rule)), F.lit(rule.value))
+        bare[rule.rule_id] = each(values, text)[0] or []
+    told = {r: [s.text for s in found if s.rule_id == r] for r in bare}
+    assert told == bare
+    for span in found:
+        assert text[span.start:span.end] == span.text
+    chain = T
+    for rule in select_rules():
+        chain = F.regexp_replace(chain, spark_pattern(rule), rule.replacement)
+    assert each(redact_column(T), text) == each(chain, text)
+
+
+def test_statistics_read_the_entities_that_the_job_wrote(texts, tmp_path):
+    df = texts("Ann Lee a@b.cd", "Bob Ray")
+    report = run_redaction(df, str(tmp_path / "r"), str(tmp_path / "e"), content_column="text")
+    assert "Aggregate" not in report.entities._jdf.queryExecution().optimizedPlan().toString()
+    assert report.total.first().n_entities > 0
+    report.close()
