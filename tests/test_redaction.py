@@ -239,19 +239,17 @@ def test_context_takes_part_in_masking(texts):
     "Jan 2010 May 2011 to 2014 - 2015 - 2016", "xAnn Bob C. Dee", "Age: 42, 41 years old", "Photo: a.jpg.png Photo: b.gif",
 ])
 def test_gates_and_marks_hide_no_match(each, text):
-    found = each(en.detect_spans(T), text)[0]
-    bare = {}
-    for rule in select_rules():
-        values = F.regexp_extract_all(T, F.lit(spark_pattern(rule)), F.lit(rule.value))
-        bare[rule.rule_id] = each(values, text)[0] or []
-    told = {r: [s.text for s in found if s.rule_id == r] for r in bare}
-    assert told == bare
-    for span in found:
-        assert text[span.start:span.end] == span.text
     chain = T
     for rule in select_rules():
         chain = F.regexp_replace(chain, spark_pattern(rule), rule.replacement)
-    assert each(redact_column(T), text) == each(chain, text)
+    bare = [F.regexp_extract_all(T, F.lit(spark_pattern(r)), F.lit(r.value)).alias(r.rule_id) for r in select_rules()]
+    made = F.struct(en.detect_spans(T).alias("spans"), redact_column(T).alias("out"), chain.alias("chain"), *bare)
+    row = each(made, text)[0]
+    for rule in select_rules():
+        assert [s.text for s in row.spans if s.rule_id == rule.rule_id] == (row[rule.rule_id] or [])
+    for span in row.spans:
+        assert text[span.start:span.end] == span.text
+    assert row.out == row.chain
 
 
 def test_statistics_read_the_entities_that_the_job_wrote(texts, tmp_path):
